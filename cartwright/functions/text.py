@@ -60,3 +60,9 @@ def hash_mod(c: Column, n: int | Column) -> Column:
     """
     head = F.conv(F.substring(F.md5(c.cast("binary")), 1, 7), 16, 10).cast("bigint")
     return F.pmod(head, n if isinstance(n, Column) else F.lit(n).cast("bigint"))
+
+
+def zero_padded(i: Column, width: int) -> Column:
+    """A number with leading zeros; a longer one is kept whole, where ``lpad`` would cut it."""
+    digits = i.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)

@@ -17,6 +17,7 @@ from ..operators.merge import latest_per_key
 from ..operators.partitions import write_months
 from ..session import fresh_dir, prepare
 from ..sources import retail
+from ..sources.sinks import write_dated_csv
 from . import transforms
 
 _BUILT: dict[tuple[str, str], "Warehouse"] = {}
@@ -34,12 +35,19 @@ def ts(text: str):
     return F.lit(text).cast("timestamp")
 
 
+def file_day():
+    """The date in the folder of a raw row's file."""
+    return F.to_date(F.regexp_extract("_source_file", r"(\d{4}/\d{2}/\d{2})", 1), "yyyy/MM/dd")
+
+
 class Warehouse(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = fresh_dir(spark, "warehouse")
         self._stored: dict[str, DataFrame] = {}
+        self._landing: str | None = None
+        self.runs: dict[str, object] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._stored:
@@ -67,6 +75,16 @@ class Warehouse(Mapping[str, DataFrame]):
     def typed(self, entity: str) -> DataFrame:
         return retail.TYPED[entity](self.spark, self.sf_dir)
 
+    def landing(self) -> str:
+        """A folder with the seven raw entities as dated CSV files, written on first use."""
+        if self._landing is None:
+            root = f"{self.root}/landing"
+            for entity in ENTITIES:
+                raw = retail.raw(self.spark, self.sf_dir, entity)
+                write_dated_csv(raw.select(*ENTITIES[entity].columns, file_day().alias("_day")), root, entity, "_day")
+            self._landing = root
+        return self._landing
+
     def as_of(self) -> DataFrame:
         """The day the data stands at, read from the orders: one row."""
         orders = retail.read(self.spark, self.sf_dir, "orders")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..catalog import ENTITIES
 from ..functions.text import na_to_null
@@ -14,13 +13,13 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Every file below a folder, as ``object_path`` and ``entity``.
 
     Only the path column is read, so no file content is loaded. ``object_path``
-    is relative to the folder: ``entity/YYYY/MM/DD/file``.
+    is relative to the folder: ``entity=orders/yyyy=2001/mm=08/dd=01/file``.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     )
     relative = object_path(F.col("path"), root)
-    return files.select(relative.alias("object_path"), F.element_at(F.split(relative, "/"), 1).alias("entity"))
+    return files.select(relative.alias("object_path"), F.regexp_extract(relative, "^entity=([^/]+)/", 1).alias("entity"))
 
 
 def object_path(uri: Column, root: str) -> Column:
@@ -29,36 +28,52 @@ def object_path(uri: Column, root: str) -> Column:
     return F.substring_index(uri, tail + "/", -1)
 
 
+def folder_day(path: Column) -> Column:
+    """The date a file's folder stands for."""
+    parts = [F.regexp_extract(path, f"{name}=([0-9]+)", 1) for name in ("yyyy", "mm", "dd")]
+    return F.concat_ws("-", *parts).cast("date")
+
+
 def discover(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger does not know yet."""
     return listing.join(ledger.select("object_path"), "object_path", "left_anti")
 
 
-def read_raw(spark: SparkSession, root: str, entity: str, paths: str | list[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """An entity's CSV files with every column as text and missing tokens as null.
 
-    Adds ``_source_file`` and ``_row``, which orders the rows of one file: a
-    split is read front to back by one task, so the block's offset and the
-    running id inside the task are enough.
+    Adds ``_source_file`` and ``_row``, the row's place in its file.
     """
-    spec = ENTITIES[entity]
-    scan = (
-        spark.read.schema(spec.raw_schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(paths or f"{root}/{entity}")
-    )
-    return with_lineage(scan, root)
+    scan = _csv(spark.read, root, entity)
+    return with_lineage(scan.select("*", *file_columns()), root)
 
 
-def with_lineage(scan: DataFrame, root: str) -> DataFrame:
-    """Null out missing-value tokens and add the file and position of every row."""
-    position = F.struct(
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
-    )
-    values = [na_to_null(F.col(f.name)).alias(f.name) for f in scan.schema if isinstance(f.dataType, T.StringType)]
-    return scan.select(
-        *values, object_path(F.col("_metadata.file_path"), root).alias("_source_file"), position.alias("_row")
+def stream_raw(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """The same files as a stream; apply ``with_lineage`` to each of its batches."""
+    return _csv(spark.readStream, root, entity).select("*", *file_columns())
+
+
+def _csv(reader, root: str, entity: str) -> DataFrame:
+    options = reader.schema(ENTITIES[entity].raw_schema).option("header", True).option("recursiveFileLookup", True)
+    return options.csv(f"{root}/entity={entity}")
+
+
+def file_columns() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_block_start").alias("_block")]
+
+
+def with_lineage(rows: DataFrame, root: str) -> DataFrame:
+    """Null out missing-value tokens and turn the file columns into path and position.
+
+    A split of a file is read front to back by one task, so the split's offset
+    and the running id inside the task order the rows of a file.
+    """
+    values = [c for c in rows.columns if c not in ("_uri", "_block")]
+    position = F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return rows.select(
+        *[na_to_null(F.col(c)).alias(c) for c in values],
+        object_path(F.col("_uri"), root).alias("_source_file"),
+        position.alias("_row"),
     )
 
 

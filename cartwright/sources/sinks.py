@@ -6,27 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_dated_csv(df: DataFrame, root: str, entity: str, day: Column, mode: str = "append") -> None:
-    """Write to ``root/entity/YYYY/MM/DD/``.
+def write_dated_csv(df: DataFrame, root: str, entity: str, day: str, mode: str = "append") -> None:
+    """Write to ``root/entity=…/yyyy=…/mm=…/dd=…/``, keeping blanks around values.
 
+    ``day`` names the date column that decides the folder; it is not written.
     Rows are brought together by day first so that a day gets few files; the
     rebalance may split a day that is far larger than the others.
     """
-    dated = df.withColumns({"entity": F.lit(entity), "yyyy": F.date_format(day, "yyyy"),
-                            "mm": F.date_format(day, "MM"), "dd": F.date_format(day, "dd")})
+    dated = df.withColumns(
+        {
+            "entity": F.lit(entity),
+            "yyyy": F.date_format(day, "yyyy"),
+            "mm": F.date_format(day, "MM"),
+            "dd": F.date_format(day, "dd"),
+        }
+    ).drop(day)
     (
         dated.hint("rebalance", "yyyy", "mm", "dd")
         .write.mode(mode)
         .partitionBy("entity", "yyyy", "mm", "dd")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(root)
     )
 
 
-def write_quarantine(rejected: DataFrame, root: str, entity: str, at: Column) -> None:
+def write_quarantine(rejected: DataFrame, root: str, entity: str, at: Column, mode: str = "append") -> None:
     """Append rejected rows in their original text, with reasons and source file.
 
     The folder date is the time of rejection, not the date of the source file.
     """
-    flat = rejected.withColumn("_reasons", F.array_join("_reasons", "|"))
-    write_dated_csv(flat.drop("_row"), root, entity, at)
+    internal = [c for c in rejected.columns if c in ("_row", "_loaded_at")]
+    flat = rejected.drop(*internal).withColumns(
+        {"_reasons": F.array_join(F.array_sort("_reasons"), "|"), "_day": F.to_date(at)}
+    )
+    write_dated_csv(flat, root, entity, "_day", mode)
