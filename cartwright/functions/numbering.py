@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HEX_DIGITS = 3
+HEX_DIGITS = 4
 BUCKETS = 16**HEX_DIGITS
 
 

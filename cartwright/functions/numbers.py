@@ -9,12 +9,14 @@ MONEY = "decimal(12,2)"
 DAILY_MONEY = "decimal(15,2)"
 WIDE_MONEY = "decimal(38,2)"
 
-# Java's parser also takes suffixes such as "1.5f"; only plain numbers count here.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _plain(c: Column) -> Column:
-    return F.when(c.rlike(_NUMBER), c)
+    """The text if it holds only characters of a plain number.
+
+    The cast alone would also take suffixes such as "1.5f" and names such as "NaN".
+    """
+    return F.when(F.translate(c, "0123456789+-.eE", "") == "", c)
 
 
 def to_money(c: Column, kind: str = MONEY) -> Column:

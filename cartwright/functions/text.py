@@ -17,6 +17,13 @@ UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 DECIMAL_PATTERN = r"^\d+(\.\d+)?$"
 INTEGER_PATTERN = r"^\d+$"
 
+# The characters that count as white space at the ends of a value.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 _MARK = "\u001f "
 
 
@@ -27,7 +34,7 @@ def na_to_null(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def title_case(c: Column) -> Column:
@@ -41,11 +48,15 @@ def title_case(c: Column) -> Column:
 
 
 def name_uuid(prefix: str, *parts: Column) -> Column:
-    """A deterministic lower-case 8-4-4-4-12 identifier for a name."""
+    """A deterministic lower-case 8-4-4-4-12 identifier for a name.
+
+    The hyphens are put into one digest; cutting it up would compute it per cut.
+    """
     named = F.concat_ws("-", F.lit(prefix), *[p.cast("string") for p in parts])
-    digest = F.md5(named.cast("binary"))
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digest, at, size) for at, size in cuts])
+    out = F.md5(named.cast("binary"))
+    for at in (9, 14, 19, 24):
+        out = F.overlay(out, F.lit("-"), at, 0)
+    return out
 
 
 def pick(choices: tuple[str, ...] | list[str], index: Column) -> Column:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bare times would be read as today's; a value has to start with a year.
-_DATED = r"^\d{4}(-|$)"
+
+def _dated(c: Column) -> Column:
+    """The text if it starts with a year; a bare time would be read as today's."""
+    only_year = (F.length(c) == 4) & ~c.contains(":")
+    return F.when((F.substring(c, 5, 1) == "-") | only_year, c)
 
 
 def to_utc(c: Column) -> Column:
     """Parse to a timestamp in the session zone (UTC); bad text becomes null."""
-    return F.when(c.rlike(_DATED), c).try_cast("timestamp")
+    return _dated(c).try_cast("timestamp")
 
 
 def to_day(c: Column) -> Column:
     """Parse to a date; bad text becomes null."""
-    return F.when(c.rlike(_DATED), c).try_cast("date")
+    return _dated(c).try_cast("date")
 
 
 def date_key(c: Column) -> Column:

@@ -10,6 +10,8 @@ from ..functions.numbers import DAILY_MONEY, MONEY, to_int, to_money
 from ..functions.text import strip, title_case
 from ..functions.times import to_day, to_utc
 
+MONEY_OF = {"money": MONEY, "daily_money": DAILY_MONEY}
+
 # How a stripped text column becomes a staging column.
 KINDS = {
     "text": lambda c: c,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # How far the window of monthly partitions reaches around today.
 MONTHS_BACK = 12
@@ -23,24 +24,24 @@ def partition_name(moment: Column, as_of: Column, table: str = "fact_orders") ->
     return F.when(in_window(moment, as_of), monthly).otherwise(table + "_default")
 
 
-def with_month(fact: DataFrame) -> DataFrame:
-    """Add the column the stored table is partitioned by.
+def with_month(rows: DataFrame, moment: str = "order_timestamp") -> DataFrame:
+    """Add the column a stored table is partitioned by.
 
     Storage uses the true month for every row, also outside the window, so old
     orders can still be pruned; the default partition is a question asked of
     the rows (``in_window``), not a folder all of them share.
     """
-    return fact.withColumn("order_month", F.date_format("order_timestamp", "yyyy-MM"))
+    return rows.withColumn("order_month", F.date_format(moment, "yyyy-MM"))
 
 
-def write_months(fact: DataFrame, path: str) -> None:
-    """Write partitioned by month, replacing exactly the months present in ``fact``.
+def write_months(rows: DataFrame, path: str, moment: str = "order_timestamp") -> None:
+    """Write partitioned by month, replacing exactly the months present in ``rows``.
 
     Rebalancing gathers each month into few files and, unlike a plain
     repartition by month, splits a month that is much larger than the others.
     """
     (
-        with_month(fact)
+        with_month(rows, moment)
         .hint("rebalance", "order_month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -49,33 +50,50 @@ def write_months(fact: DataFrame, path: str) -> None:
     )
 
 
-def replace_orders(spark: SparkSession, path: str, rows: DataFrame) -> list[str]:
-    """Replace orders in a stored fact table, rewriting only the months involved.
+def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table stored by month; the given schema keeps month names text."""
+    return spark.read.schema(T.StructType([*schema, T.StructField("order_month", T.StringType())])).parquet(path)
 
-    A month is involved if it receives a row or if it now holds an order that is
-    being replaced: an order whose time moved to another month must leave the
-    old one. Returns the months; only month names reach the driver.
+
+def replace_rows(
+    spark: SparkSession, path: str, rows: DataFrame, key: str = "order_id", moment: str = "order_timestamp"
+) -> list[str]:
+    """Replace rows of a table stored by month, rewriting only the months involved.
+
+    A month is involved if it receives a row or if it now holds a row that is
+    being replaced: a row whose time moved to another month must leave the old
+    one. Finding those reads the key column alone. ``rows`` are read several
+    times, so pass a stored table. Returns the months; only their names reach
+    the driver.
     """
-    stored = spark.read.parquet(path)
-    keys = rows.select("order_id")
-    incoming = with_month(rows).select("order_month")
-    leaving = stored.join(keys, "order_id", "left_semi").select("order_month")
+    if not exists(spark, path):
+        write_months(rows, path, moment)
+        return _months(with_month(rows, moment))
+    stored = read_months(spark, path, rows.schema)
+    keys = rows.select(key)
+    incoming = with_month(rows, moment).select("order_month")
+    leaving = stored.join(keys, key, "left_semi").select("order_month")
     touched = _months(leaving.union(incoming))
-    kept = stored.filter(F.col("order_month").isin(touched)).join(keys, "order_id", "left_anti")
+    kept = stored.filter(F.col("order_month").isin(touched)).join(keys, key, "left_anti").select(*stored.columns)
     filled = _months(kept.select("order_month").union(incoming))
-    write_months(kept.drop("order_month").unionByName(rows), path)
+    write_months(kept.drop("order_month").unionByName(rows), path, moment)
     # The write replaces only months that receive rows; a month that lost all
-    # of its orders has to be removed.
+    # of its rows has to be removed.
     for month in sorted(set(touched) - set(filled)):
-        _remove(spark, f"{path}/order_month={month}")
+        fs, folder = _fs(spark, f"{path}/order_month={month}")
+        fs.delete(folder, True)
     return touched
 
 
 def _months(df: DataFrame) -> list[str]:
-    return sorted(r.order_month for r in df.distinct().collect())
+    return sorted(r.order_month for r in df.select("order_month").distinct().collect())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _fs(spark, path)
+    return fs.exists(folder)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def _fs(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath

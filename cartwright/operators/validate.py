@@ -1,7 +1,8 @@
 """Row validation.
 
-All rules of an entity are evaluated in one pass into an array of reasons; a row
-is valid when the array is empty. Only uniqueness needs a shuffle.
+All rules of an entity are evaluated in one pass into a text of reasons, joined
+by bars and ordered by name; a row is valid when it is empty. The expression has
+no lambda, so it is compiled with the stage. Only uniqueness needs a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import EntitySpec, spec_for
 from ..functions.text import UUID_PATTERN, strip
-from .clean import cleaned
+from .clean import MONEY_OF, cleaned
 
 REASONS = "_reasons"
 FILE_SCOPE = ("_source_file",)
@@ -77,7 +78,9 @@ def load_failures(spec: EntitySpec) -> dict[str, Column]:
         rules[f"unparseable:{c}"] = F.col(c).isNotNull() & cleaned(spec, c).isNull()
     for c, kind in spec.columns.items():
         if kind.endswith("money"):
-            rules[f"overflow:{c}"] = F.col(c).rlike(r"^\s*\d") & cleaned(spec, c).isNull()
+            number = strip(F.col(c))
+            too_large = number.try_cast(MONEY_OF[kind]).isNull() & number.try_cast("double").isNotNull()
+            rules[f"overflow:{c}"] = F.col(c).isNotNull() & too_large
     return rules
 
 
@@ -87,7 +90,7 @@ def annotate(
     scope: Iterable[str] = FILE_SCOPE,
     guard_load: bool = False,
 ) -> DataFrame:
-    """Add the array of reasons a row is invalid for; empty means valid.
+    """Add the reasons a row is invalid for; empty means valid.
 
     ``scope`` names the columns inside which the key must be unique; add a chunk
     column to narrow it. ``guard_load`` adds the storage conditions.
@@ -98,12 +101,12 @@ def annotate(
         rules = {**load_failures(spec), **rules}
     flagged = flag_repeated(df, spec.key, "_repeated", scope)
     rules[f"unique:{spec.key}"] = F.col("_repeated")
-    found = F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in rules.items()]))
+    found = F.concat_ws("|", *[F.when(rules[name], F.lit(name)) for name in sorted(rules)])
     return flagged.withColumn(REASONS, found).drop("_repeated").select(*df.columns, REASONS)
 
 
 def is_valid() -> Column:
-    return F.size(REASONS) == 0
+    return F.col(REASONS) == ""
 
 
 def validate(

@@ -22,8 +22,8 @@ def raw(w: Warehouse, entity: str) -> DataFrame:
     return retail.raw(w.spark, w.sf_dir, entity)
 
 
-def reasons() -> F.Column:
-    return F.array_join(F.array_sort(V.REASONS), "|")
+def reasons():
+    return F.col(V.REASONS)
 
 
 # --- single rules over raw orders ----------------------------------------------------------------

@@ -118,8 +118,8 @@ def replace_months(w: Warehouse):
     moved = rows.filter("order_status = 'Cancelled'").withColumn(
         "order_timestamp", F.col("order_timestamp") + F.expr("interval 400 days")
     )
-    partitions.replace_orders(w.spark, path, moved)
-    stored = w.spark.read.schema("revenue decimal(12,2), order_month string").parquet(path)
+    partitions.replace_rows(w.spark, path, moved)
+    stored = partitions.read_months(w.spark, path, rows.schema)
     return stored.groupBy("order_month").agg(F.count("*").alias("row_count"), F.sum("revenue").alias("revenue"))
 
 

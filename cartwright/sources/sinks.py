@@ -38,7 +38,5 @@ def write_quarantine(rejected: DataFrame, root: str, entity: str, at: Column, mo
     The folder date is the time of rejection, not the date of the source file.
     """
     internal = [c for c in rejected.columns if c in ("_row", "_loaded_at")]
-    flat = rejected.drop(*internal).withColumns(
-        {"_reasons": F.array_join(F.array_sort("_reasons"), "|"), "_day": F.to_date(at)}
-    )
+    flat = rejected.drop(*internal).withColumn("_day", F.to_date(at))
     write_dated_csv(flat, root, entity, "_day", mode)
