@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbering import number_by_digest
+from .skew import hot_only, key_counts, mark_hot
 
 
 def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -79,12 +80,41 @@ def valid_at(moment: Column) -> Column:
     return (F.col("valid_from") <= moment) & (F.col("valid_to").isNull() | (F.col("valid_to") > moment))
 
 
+def _month_number(moment: Column) -> Column:
+    return F.year(moment) * 12 + F.month(moment)
+
+
 def join_as_of(facts: DataFrame, dim: DataFrame, key: str, moment: str, how: str = "left") -> DataFrame:
     """Join each fact to the dimension row valid at the fact's own time.
 
-    The natural key is an equi-join key, so this stays a hash or sort-merge join;
-    the interval is a residual condition on the few versions of one key.
+    The natural key is an equi-join key, so this is a hash or sort-merge join
+    with the interval as a residual condition on the versions of one key. A key
+    that holds a large part of all versions would compare each of its facts with
+    each of them; for such keys the month joins the equi-join key: a version
+    appears once per month it covers, a fact looks into its own month only.
+    Months outside the dimension's own span count as the nearest one inside.
     """
-    f, d = facts.alias("f"), dim.withColumnRenamed(key, "_dim_key").alias("d")
-    on = (F.col(f"f.{key}") == F.col("d._dim_key")) & valid_at(F.col(f"f.{moment}"))
-    return f.join(d, on, how).drop("_dim_key")
+    hot = hot_only(key_counts(dim, [key]))
+    end = F.coalesce("valid_to", "valid_from")
+    first = dim.agg(_month_number(F.min("valid_from")).alias("m")).scalar()
+    last = dim.agg(_month_number(F.max(F.greatest("valid_from", end))).alias("m")).scalar()
+
+    until = F.when(F.col("valid_to").isNull(), last).otherwise(_month_number(F.col("valid_to")))
+    months = F.sequence(_month_number(F.col("valid_from")), F.greatest(until, _month_number(F.col("valid_from"))))
+    versions = (
+        mark_hot(dim, hot, [key])
+        .withColumn("_slot", F.explode(F.when(F.col("_hot"), months).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+        .withColumnRenamed(key, "_dim_key")
+    )
+    own = F.least(F.greatest(_month_number(F.col(moment)), first), last)
+    looked_up = mark_hot(facts, hot, [key]).withColumn("_slot", F.when(F.col("_hot"), own).otherwise(0)).drop("_hot")
+
+    f, d = looked_up.alias("f"), versions.alias("d")
+    on = (
+        (F.col(f"f.{key}") == F.col("d._dim_key"))
+        & (F.col("f._slot") == F.col("d._slot"))
+        & valid_at(F.col(f"f.{moment}"))
+    )
+    carried = [F.col(f"f.{c}") for c in facts.columns] + [F.col(f"d.{c}") for c in dim.columns if c != key]
+    return f.join(d, on, how).select(*carried)

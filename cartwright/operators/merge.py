@@ -80,3 +80,15 @@ def update_from(
     return target.join(named, list(keys), "left").select(
         *[F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in target.columns]
     )
+
+
+def left_join_fanout(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """A left join whose right side may hold any number of rows per key.
+
+    An outer join can split a skewed left side only. Written as an inner join,
+    which can split either, plus the left rows without a match, it stays
+    balanced when most of the right side falls on one key.
+    """
+    matched = left.join(right, list(on))
+    alone = left.join(right.select(*on).distinct(), list(on), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

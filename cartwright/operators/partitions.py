@@ -69,17 +69,18 @@ def replace_rows(
     if not exists(spark, path):
         write_months(rows, path, moment)
         return _months(with_month(rows, moment))
-    stored = read_months(spark, path, rows.schema)
+    table = read_months(spark, path, rows.schema)
     keys = rows.select(key)
-    incoming = with_month(rows, moment).select("order_month")
-    leaving = stored.join(keys, key, "left_semi").select("order_month")
-    touched = _months(leaving.union(incoming))
-    kept = stored.filter(F.col("order_month").isin(touched)).join(keys, key, "left_anti").select(*stored.columns)
-    filled = _months(kept.select("order_month").union(incoming))
+    incoming = _months(with_month(rows, moment))
+    leaving = _months(table.join(keys, key, "left_semi"))
+    touched = sorted({*incoming, *leaving})
+    kept = table.filter(F.col("order_month").isin(touched)).join(keys, key, "left_anti").select(*table.columns)
+    # The write replaces only months that receive rows. A month that rows left
+    # and none entered may end up empty and then has to be removed.
+    left_only = sorted({*leaving} - {*incoming})
+    remaining = _months(kept.filter(F.col("order_month").isin(left_only))) if left_only else []
     write_months(kept.drop("order_month").unionByName(rows), path, moment)
-    # The write replaces only months that receive rows; a month that lost all
-    # of its rows has to be removed.
-    for month in sorted(set(touched) - set(filled)):
+    for month in sorted({*left_only} - {*remaining}):
         fs, folder = _fs(spark, f"{path}/order_month={month}")
         fs.delete(folder, True)
     return touched

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..catalog import EntitySpec, spec_for
 from ..functions.text import UUID_PATTERN, strip
 from .clean import MONEY_OF, cleaned
+from .skew import hot_only, key_counts, mark_hot, scattered
 
 REASONS = "_reasons"
 FILE_SCOPE = ("_source_file",)
@@ -35,25 +36,31 @@ def fails_in_set(c: Column, allowed: Iterable[str]) -> Column:
 
 
 def repeated_keys(df: DataFrame, key: str, scope: Iterable[str] = FILE_SCOPE) -> DataFrame:
-    """One row per key value that occurs more than once inside a scope.
+    """One row per key value that occurs more than once inside a scope, with how often.
 
     Counts are combined on the map side, so a value that fills a third of the
     input reaches the shuffle as one partial count per task.
     """
-    by = [*scope, key]
-    return df.filter(F.col(key).isNotNull()).groupBy(*by).count().filter("count > 1").select(*by)
+    return key_counts(df.filter(F.col(key).isNotNull()), [*scope, key]).filter("_n > 1")
 
 
 def flag_repeated(df: DataFrame, key: str, flag: str, scope: Iterable[str] = FILE_SCOPE) -> DataFrame:
     """Set ``flag`` on **every** row whose key is repeated inside its scope.
 
-    A join against the aggregated repeats rather than a window over the rows:
-    a window would bring all copies of one value into a single task, the join
-    lets adaptive execution broadcast the repeats or split a skewed partition.
+    A join against the repeated keys rather than a window over the rows, which
+    would bring all copies of one value into a single task. Hot keys are looked
+    up in a broadcast of bounded size; their rows, and those without a key, are
+    then scattered over the tasks of the join that serves all other keys.
     """
-    by = [*scope, key]
-    repeats = repeated_keys(df, key, scope).withColumn(flag, F.lit(True))
-    return df.join(repeats, by, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    scope = list(scope)
+    counts = key_counts(df.filter(F.col(key).isNotNull()), [*scope, key])
+    hot = hot_only(counts).filter("_n > 1")
+    marked = mark_hot(df, hot, [*scope, key])
+    apart = F.col("_hot") | F.col(key).isNull()
+    repeats = counts.filter("_n > 1").select(*scope, F.col(key).alias("_match"), F.lit(True).alias("_again"))
+    joined = marked.withColumn("_match", scattered(F.col(key), apart)).join(repeats, [*scope, "_match"], "left")
+    found = F.col("_hot") | F.coalesce("_again", F.lit(False))
+    return joined.select(*[F.col(c) for c in df.columns], found.alias(flag))
 
 
 def rule_failures(spec: EntitySpec) -> dict[str, Column]:

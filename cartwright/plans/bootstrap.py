@@ -11,12 +11,13 @@ from . import views
 from .transforms import dim_date
 
 
-def ensure_schema(store: Store, as_of: DataFrame) -> list[str]:
+def ensure_schema(store: Store, as_of: DataFrame, stored_elsewhere: tuple[str, ...] = ()) -> list[str]:
     """Create missing tables, empty, and add missing days to the date dimension.
 
     Running it again changes nothing. Returns the tables that were created.
     """
-    wanted = dict(ANALYTICS, processed_files=LEDGER)
+    wanted = {t: ddl for t, ddl in ANALYTICS.items() if t not in stored_elsewhere}
+    wanted["processed_files"] = LEDGER
     for name, spec in ENTITIES.items():
         wanted[f"stg_{name}"] = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.staging_schema)
     created = [name for name, ddl in wanted.items() if store.ensure(name, ddl)]

@@ -144,11 +144,14 @@ def revenue_days(revenue: DataFrame, orders: DataFrame, at: Column, repeat_per_o
     yields those sums without building the joined rows. Without it a revenue
     row counts once.
     """
-    dates = recently_loaded(revenue, at).select("record_date").distinct()
-    sums = (
-        revenue.join(dates, "record_date", "left_semi")
-        .groupBy("record_date")
-        .agg(F.sum("total_revenue").alias("r"), F.sum("total_profit").alias("p"))
+    # A date had rows loaded recently exactly if its newest row was.
+    sums = recently_loaded(
+        revenue.groupBy("record_date").agg(
+            F.sum("total_revenue").alias("r"),
+            F.sum("total_profit").alias("p"),
+            F.max("_loaded_at").alias("_loaded_at"),
+        ),
+        at,
     )
     times = F.coalesce("order_rows", F.lit(1)) if repeat_per_order else F.lit(1)
     times = times.cast("decimal(12,0)")

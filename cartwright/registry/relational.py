@@ -125,9 +125,8 @@ def inner_sk(w: Warehouse):
 )
 def left_spine(w: Warehouse):
     done = w["fact_orders"].filter(COMPLETED).select("date_key", "order_id")
-    return w["dim_date"].select("full_date", "date_key").join(done, "date_key", "left").select(
-        "full_date", "date_key", "order_id"
-    )
+    spine = w["dim_date"].select("full_date", "date_key")
+    return merge.left_join_fanout(spine, done, ["date_key"]).select("full_date", "date_key", "order_id")
 
 
 @query(
@@ -138,11 +137,9 @@ def left_spine(w: Warehouse):
 )
 def expr_date(w: Warehouse):
     """Revenue rows meet every completed order of their day."""
-    done = w["stg_orders"].filter(COMPLETED).select("order_id", "order_timestamp")
+    done = w["stg_orders"].filter(COMPLETED).select("order_id", F.to_date("order_timestamp").alias("record_date"))
     r = w["stg_revenue"].select("record_date", "revenue_id")
-    return r.join(done, F.to_date("order_timestamp") == F.col("record_date"), "left").select(
-        "record_date", "revenue_id", "order_id"
-    )
+    return merge.left_join_fanout(r, done, ["record_date"]).select("record_date", "revenue_id", "order_id")
 
 
 @query(

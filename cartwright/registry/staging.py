@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..catalog import ENTITIES
 from ..plans import staging
 from ..plans.warehouse import Warehouse, ts
+from ..session import stored
 from ..sources import retail
 from .base import query
 from .rows import raw, selected
@@ -40,8 +41,9 @@ def earlier(w: Warehouse, entity: str) -> DataFrame:
 
 def _load(entity: str):
     def run(w: Warehouse) -> DataFrame:
-        batch = staging.check(entity, raw(w, entity))
-        return staging.load(entity, earlier(w, entity), batch.newest(ts(LOADED)))
+        newest = staging.check(entity, raw(w, entity)).newest(ts(LOADED))
+        # The merge reads the batch twice: for its keys and for its rows.
+        return staging.load(entity, earlier(w, entity), stored(newest, f"batch-{entity}"))
 
     return run
 

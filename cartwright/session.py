@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on; safe to set on a running session.
 RUNTIME_CONF = {
@@ -13,7 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # At run time, when every partition of one side turned out this small, hash
+    # it and leave the large side unsorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
@@ -52,6 +54,16 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result that several steps read, and read it back.
+
+    Unlike a cache it outlives lost executors, and it cuts the lineage.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """An unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -38,7 +38,7 @@ def test_files_stream_in_once_and_later_ones_win(load, tmp_path):
     load.run(ts(AT))
     load.run(ts(AT))
     assert state(load) == {"1": ("Completed", 2), "2": ("Refunded", 2)}
-    ledger = load.store.read("processed_files")
+    ledger = load.store.read("processed_files_orders")
     assert {(r.object_path[-12:], r.row_count, r.status) for r in ledger.collect()} == {
         ("20240101.csv", 2, "success"), ("20240102.csv", 1, "success")}
 
@@ -67,9 +67,9 @@ def test_a_repeated_batch_changes_nothing(spark, load, tmp_path):
         "recursiveFileLookup", True).csv(f"{load.landing}/entity=orders").select("*", *files.file_columns())
     load._apply(frame, 1, ts(AT))
     assert state(load) == before
-    assert load.store.read("processed_files").count() == 1
+    assert load.store.read("processed_files_orders").count() == 1
     # Delivered again before the ledger was written: the same batch number.
-    load.store.publish("processed_files", load.store.read("processed_files").limit(0))
+    load.store.publish("processed_files_orders", load.store.read("processed_files_orders").limit(0))
     load._apply(frame, 0, ts(AT))
     assert state(load) == before
     rejected = spark.read.option("header", True).option("recursiveFileLookup", True).csv(load.quarantine)
