@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import ANALYTICS, ENTITIES, LEDGER
 from ..operators.store import Store
+from ..session import together
 from . import views
 from .transforms import dim_date
 
@@ -20,7 +21,8 @@ def ensure_schema(store: Store, as_of: DataFrame, stored_elsewhere: tuple[str, .
     wanted["processed_files"] = LEDGER
     for name, spec in ENTITIES.items():
         wanted[f"stg_{name}"] = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.staging_schema)
-    created = [name for name, ddl in wanted.items() if store.ensure(name, ddl)]
+    made = together([lambda n=name, d=ddl: store.ensure(n, d) for name, ddl in wanted.items()])
+    created = [name for name, new in zip(wanted, made) if new]
     known = store.read("dim_date")
     days = dim_date(known, as_of)
     if not days.join(known.select("date_key"), "date_key", "left_anti").isEmpty():
@@ -34,16 +36,15 @@ def ensure_views(store: Store, tables: views.Tables, as_of: Column) -> int:
     Returns how many objects are present: each stored view counts twice, once
     for its table and once for the view over it.
     """
-    for name, view in views.MATERIALIZED.items():
-        if not store.exists(f"mv_{name}"):
-            store.publish(f"mv_{name}", view(tables, as_of))
+    missing = {n: view for n, view in views.MATERIALIZED.items() if not store.exists(f"mv_{n}")}
+    together([lambda n=n, view=view: store.publish(f"mv_{n}", view(tables, as_of)) for n, view in missing.items()])
     return register_views(store, tables, as_of)
 
 
 def refresh_views(store: Store, tables: views.Tables, as_of: Column) -> int:
     """Recompute every stored view; returns how many there are."""
-    for name, view in views.MATERIALIZED.items():
-        store.publish(f"mv_{name}", view(tables, as_of))
+    every = views.MATERIALIZED
+    together([lambda n=n, view=view: store.publish(f"mv_{n}", view(tables, as_of)) for n, view in every.items()])
     register_views(store, tables, as_of)
     return len(views.MATERIALIZED)
 

@@ -7,8 +7,6 @@ so a run that stops half-way leaves complete tables and the next run goes on.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,16 +18,11 @@ from ..operators import quality
 from ..operators.history import current_rows
 from ..operators.partitions import exists, read_months, replace_rows
 from ..operators.store import Store
+from ..session import together
 from ..streaming.loads import EntityLoad
 from . import bootstrap, transforms
 
 
-def together(jobs: Iterable[Callable[[], object]]) -> list[object]:
-    """Run independent jobs side by side; Spark shares its tasks among them."""
-    with ThreadPoolExecutor() as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
 def orders_to_bind(
     staging: DataFrame, customers: DataFrame, products: DataFrame, at: Column
 ) -> DataFrame:

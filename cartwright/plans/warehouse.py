@@ -7,6 +7,7 @@ read Parquet, as a dashboard reads tables a nightly load has written.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..catalog import ANALYTICS, ENTITIES
 from ..operators.merge import latest_per_key
-from ..operators.partitions import write_months
-from ..session import fresh_dir, prepare
+from ..operators.partitions import read_months, write_months
+from ..session import fresh_dir, prepare, together
 from ..sources import retail
 from ..sources.sinks import write_dated_csv
 from . import transforms
@@ -46,23 +47,29 @@ class Warehouse(Mapping[str, DataFrame]):
         self.sf_dir = sf_dir
         self.root = fresh_dir(spark, "warehouse")
         self._stored: dict[str, DataFrame] = {}
+        self._locks = {name: threading.Lock() for name in BUILDERS}
         self._landing: str | None = None
         self.runs: dict[str, object] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._stored:
-            df = BUILDERS[name](self)
-            path = f"{self.root}/{name}"
-            if name.startswith("fact_orders"):
-                write_months(df, path)
-                # Month names look like numbers to partition discovery; keep them text.
-                schema = f"{ANALYTICS['fact_orders']}, order_month string"
-                self._stored[name] = self.spark.read.schema(schema).parquet(path)
-            else:
-                df.write.parquet(path)
-                self._stored[name] = self.spark.read.schema(df.schema).parquet(path)
+        with self._locks[name]:
+            if name not in self._stored:
+                self._stored[name] = self._store(name, BUILDERS[name](self))
         return self._stored[name]
 
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{name}"
+        if name.startswith("fact_orders"):
+            write_months(df, path)
+            return read_months(self.spark, path, df.schema)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def build(self) -> None:
+        """Build every table, those that do not depend on each other side by side."""
+        for level in LEVELS:
+            together([lambda n=n: self[n] for n in level])
+
     def __iter__(self) -> Iterator[str]:
         return iter(BUILDERS)
 
@@ -78,13 +85,20 @@ class Warehouse(Mapping[str, DataFrame]):
     def landing(self) -> str:
         """A folder with the seven raw entities as dated CSV files, written on first use."""
         if self._landing is None:
-            root = f"{self.root}/landing"
-            for entity in ENTITIES:
-                raw = retail.raw(self.spark, self.sf_dir, entity)
-                write_dated_csv(raw.select(*ENTITIES[entity].columns, file_day().alias("_day")), root, entity, "_day")
-            self._landing = root
+            self._landing = self.land(f"{self.root}/landing")
         return self._landing
 
+    def land(self, root: str, part=None) -> str:
+        """Write the raw rows of every entity below a folder, all or those that meet a condition."""
+
+        def write(entity: str) -> None:
+            raw = retail.raw(self.spark, self.sf_dir, entity)
+            rows = raw.select(*ENTITIES[entity].columns, file_day().alias("_day"))
+            write_dated_csv(rows if part is None else rows.filter(part), root, entity, "_day")
+
+        together([lambda e=e: write(e) for e in ENTITIES])
+        return root
+
     def as_of(self) -> DataFrame:
         """The day the data stands at, read from the orders: one row."""
         orders = retail.read(self.spark, self.sf_dir, "orders")
@@ -149,3 +163,11 @@ BUILDERS = {
     "fact_payments": lambda w: transforms.payment_rows(w["stg_payments"]),
     "fact_returns": lambda w: transforms.return_rows(w["stg_returns"]),
 }
+
+# Tables of one level depend on earlier levels only.
+LEVELS = (
+    [n for n in BUILDERS if n.startswith("stg_")] + ["dim_date"],
+    ["dim_customers_v1", "dim_products_v1", "fact_payments", "fact_returns"],
+    ["dim_customers", "dim_products"],
+    ["fact_orders", "fact_orders_asof"],
+)

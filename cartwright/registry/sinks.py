@@ -11,8 +11,8 @@ from ..catalog import ENTITIES, LEDGER
 from ..operators import partitions
 from ..operators.store import Store
 from ..plans import bootstrap, staging
-from ..plans.warehouse import Warehouse, file_day, ts
-from ..session import fresh_dir
+from ..plans.warehouse import Warehouse, ts
+from ..session import fresh_dir, together
 from ..sources import files, retail, sinks
 from .base import query
 from .dashboards import as_of
@@ -26,10 +26,7 @@ from .sources import COUNTED, FOLDER_SQL, each_entity
 )
 def partitioned_csv(w: Warehouse):
     """All raw entities written below dated folders, counted per folder from the files."""
-    root = fresh_dir(w.spark, "sink")
-    for entity, spec in ENTITIES.items():
-        rows = raw(w, entity).select(*spec.columns, file_day().alias("_day"))
-        sinks.write_dated_csv(rows, root, entity, "_day")
+    root = w.land(fresh_dir(w.spark, "sink"))
 
     def count(entity: str) -> DataFrame:
         rows = files.read_raw(w.spark, root, entity)
@@ -144,9 +141,7 @@ def boot(w: Warehouse):
     created = bootstrap.ensure_schema(store, w.as_of())
     if bootstrap.ensure_schema(store, w.as_of()):
         raise AssertionError("a second bootstrap created tables")
-    for entity in ENTITIES:
-        table = f"stg_{entity}"
-        store.publish(table, staging.load(entity, store.read(table), w[table]))
+    together([lambda e=e: store.publish(f"stg_{e}", staging.load(e, store.read(f"stg_{e}"), w[f"stg_{e}"])) for e in ENTITIES])
     parts = [
         store.read(t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
         for t in created

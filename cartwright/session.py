@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def together(jobs: Iterable[Callable[[], object]]) -> list[object]:
+    """Run independent jobs side by side; Spark shares its tasks among them."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result that several steps read, and read it back.
 

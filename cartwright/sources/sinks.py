@@ -11,24 +11,20 @@ def write_dated_csv(df: DataFrame, root: str, entity: str, day: str, mode: str =
 
     ``day`` names the date column that decides the folder; it is not written.
     Rows are brought together by day first so that a day gets few files; the
-    rebalance may split a day that is far larger than the others.
+    rebalance may split a day that is far larger than the others. Each entity is
+    written as a table of its own, so several can be written at the same time.
     """
-    dated = df.withColumns(
-        {
-            "entity": F.lit(entity),
-            "yyyy": F.date_format(day, "yyyy"),
-            "mm": F.date_format(day, "MM"),
-            "dd": F.date_format(day, "dd"),
-        }
-    ).drop(day)
+    parts = {"yyyy": F.date_format(day, "yyyy"), "mm": F.date_format(day, "MM"), "dd": F.date_format(day, "dd")}
     (
-        dated.hint("rebalance", "yyyy", "mm", "dd")
+        df.withColumns(parts)
+        .drop(day)
+        .hint("rebalance", *parts)
         .write.mode(mode)
-        .partitionBy("entity", "yyyy", "mm", "dd")
+        .partitionBy(*parts)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(root)
+        .csv(f"{root}/entity={entity}")
     )
 
 
