@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from .functions.text import DECIMAL_PATTERN, INTEGER_PATTERN, UUID_PATTERN
+from .functions.text import DECIMAL_PATTERN, INTEGER_PATTERN
 
 _TYPES = {
     "text": T.StringType(),

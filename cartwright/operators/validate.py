@@ -35,15 +35,6 @@ def fails_in_set(c: Column, allowed: Iterable[str]) -> Column:
     return c.isNotNull() & ~c.isin(*allowed)
 
 
-def repeated_keys(df: DataFrame, key: str, scope: Iterable[str] = FILE_SCOPE) -> DataFrame:
-    """One row per key value that occurs more than once inside a scope, with how often.
-
-    Counts are combined on the map side, so a value that fills a third of the
-    input reaches the shuffle as one partial count per task.
-    """
-    return key_counts(df.filter(F.col(key).isNotNull()), [*scope, key]).filter("_n > 1")
-
-
 def flag_repeated(df: DataFrame, key: str, flag: str, scope: Iterable[str] = FILE_SCOPE) -> DataFrame:
     """Set ``flag`` on **every** row whose key is repeated inside its scope.
 

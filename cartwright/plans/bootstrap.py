@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..catalog import ANALYTICS, ENTITIES, LEDGER
 from ..operators.store import Store
@@ -59,7 +58,3 @@ def register_views(store: Store, tables: views.Tables, as_of: Column) -> int:
         view(tables, as_of).createOrReplaceTempView(f"v_{name}")
         present += 1
     return present
-
-
-def as_of_column(day: str) -> Column:
-    return F.lit(day).cast("date")
