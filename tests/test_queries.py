@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from cartwright.registry import QUERIES
 from cartwright.plans.cards import CARDS, RANGED
 from cartwright.plans.warehouse import warehouse
 from conftest import SMALL
@@ -25,7 +26,7 @@ def duck():
     return check.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert check.compare(spark, duck, SMALL, name)[0] == "ok"
 
