@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets
+from . import mixing, quality, secrets
 from .words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,46 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secret spans of every document."""
     return secrets.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _mix_sql() -> str:
+    """The draw over whole sources: ranks in order, then the closest document for each gap."""
+    parts = [r"""
+d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+             (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+             / 4503599627370496::DOUBLE AS u
+      FROM documents),
+w AS (SELECT source, sum(size)::BIGINT AS source_size,
+             CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+      FROM d GROUP BY source),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+                 - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size::DOUBLE / weight, source NULLS LAST
+                                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+                / (sum(weight) OVER (ORDER BY 2 * source_size::DOUBLE / weight, source NULLS LAST
+                                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
+t AS (SELECT *, least(2 * source_size::DOUBLE, weight * (SELECT max(level) FROM l)) AS target FROM l),
+r AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS copies FROM t),
+p AS (SELECT *, target - copies * source_size AS rest,
+             CASE WHEN source_size > 0 THEN (target - copies * source_size) / source_size ELSE 0 END AS p FROM r),
+k AS (SELECT d.source, d.doc_id, d.size, p.rest, (u / (1 - u)) / (p.p / (1 - p.p)) AS rank
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source WHERE p.p > 0 AND p.p < 1),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id) AS taken FROM k),
+s0 AS (SELECT source, doc_id, size, rank, taken <= rest AS drawn,
+              rest - coalesce(max(CASE WHEN taken <= rest THEN taken END) OVER (PARTITION BY source), 0) AS gap FROM c)"""]
+    for i in range(mixing.FILLS):
+        parts.append(f"""
+b{i} AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), rank, doc_id) AS n
+        FROM s{i} WHERE NOT drawn AND abs(size - gap) < gap),
+s{i + 1} AS (SELECT s.source, s.doc_id, s.size, s.rank, s.drawn OR coalesce(s.doc_id = b.doc_id, false) AS drawn,
+               s.gap - coalesce(b.size, 0) AS gap
+        FROM s{i} s LEFT JOIN (SELECT * FROM b{i} WHERE n = 1) b ON s.source IS NOT DISTINCT FROM b.source)""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       (d.size * (p.copies + CASE WHEN s.drawn THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN s{mixing.FILLS} s ON s.doc_id = d.doc_id"""
+
+
+@query(_mix_sql())
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.report(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
