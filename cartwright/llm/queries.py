@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets
+from . import bpe, mixing, orc_tokens, quality, secrets
 from .words import table
 
+# Rank file and pattern; vocabulary of the token files.
+BYTE_BPE = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+ORC_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -102,3 +107,15 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN s{mixing.FILLS
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.report(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+@query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes of every document, as digests."""
+    return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), *BYTE_BPE)
+
+
+@query()
+def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the ORC files."""
+    return orc_tokens.roundtrip(table(spark, sf_dir, "documents", "doc_id", "text"), ORC_VOCABULARY)
