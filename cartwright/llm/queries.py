@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, orc_tokens, quality, secrets
+from . import bpe, licenses, mixing, orc_tokens, quality, secrets
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -119,3 +119,34 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum in the ORC files."""
     return orc_tokens.roundtrip(table(spark, sf_dir, "documents", "doc_id", "text"), ORC_VOCABULARY)
+
+
+def _licence_sql() -> str:
+    """The same tables, as lists and patterns of the other engine."""
+    known = ", ".join(f"('{sentence}', '{name}')" for sentence, name in licenses.KNOWN.items())
+    parts = [f"""
+known(sentence, name) AS (VALUES {known}),
+s AS (SELECT doc_id, unnest(x) AS s, generate_subscripts(x, 1) AS i
+      FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\n+|[.!?]+[\x20\x09-\x0D]+') AS x FROM documents)),
+k AS (SELECT doc_id, string_agg(name, ',' ORDER BY i) AS sentences, string_agg('<' || name || '>', '' ORDER BY i) AS left0,
+             count(*) AS n_sentences
+      FROM (SELECT doc_id, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM s) JOIN known USING (sentence)
+      GROUP BY doc_id),
+r0 AS (SELECT *, []::VARCHAR[] AS found0 FROM k)"""]
+    for i, rule in enumerate(licenses.ORDER):
+        p, rest = licenses.pattern(rule), licenses.remainder(rule).replace("$", "\\")
+        parts.append(f"""
+r{i + 1} AS (SELECT doc_id, sentences, n_sentences, regexp_replace(left{i}, '{p}', '{rest}', 'g') AS left{i + 1},
+  CASE WHEN regexp_matches(left{i}, '{p}') AND NOT list_contains(found{i}, '{rule.licence}')
+       THEN list_append(found{i}, '{rule.licence}') ELSE found{i} END AS found{i + 1} FROM r{i})""")
+    n = len(licenses.ORDER)
+    return "WITH " + ",".join(parts) + f"""
+SELECT d.doc_id, coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(sentences, '') AS sentences,
+       coalesce(array_to_string(found{n}, ','), '') AS licences
+FROM documents d LEFT JOIN r{n} r ON r.doc_id = d.doc_id"""
+
+
+@query(_licence_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence sentences and licences of every document."""
+    return licenses.report(table(spark, sf_dir, "documents", "doc_id", "text"))
