@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, orc_tokens, quality, secrets
+from . import bpe, licenses, mixing, orc_tokens, quality, secrets, url_filters
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -150,3 +150,9 @@ FROM documents d LEFT JOIN r{n} r ON r.doc_id = d.doc_id"""
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence sentences and licences of every document."""
     return licenses.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return url_filters.report(table(spark, sf_dir, "pages", "page_id", "url"))
