@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, orc_tokens, quality, secrets, url_filters
+from . import bpe, licenses, mixing, orc_tokens, quality, secrets, simhash, url_filters
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -156,3 +156,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return url_filters.report(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@query()
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    return simhash.report(table(spark, sf_dir, "documents", "doc_id", "text"))
