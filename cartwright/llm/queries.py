@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, orc_tokens, quality, secrets, simhash, url_filters
+from . import bpe, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -162,3 +162,9 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     return simhash.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to passages of smaller documents."""
+    return substrings.report(table(spark, sf_dir, "documents", "doc_id", "text"))
