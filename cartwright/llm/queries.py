@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters
+from . import bpe, embeddings, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -168,3 +168,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to passages of smaller documents."""
     return substrings.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id) LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) ON a = vec_id
+""")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component."""
+    return embeddings.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
