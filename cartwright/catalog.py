@@ -231,7 +231,7 @@ ANALYTICS = {
     "payment_method string, amount decimal(12,2), payment_status string",
     "fact_returns": "return_id string, order_id string, date_key int, return_date timestamp, "
     "refund_amount decimal(12,2), return_reason string, return_status string",
-    "agg_revenue": "record_date date, total_revenue decimal(15,2), total_profit decimal(15,2), "
+    "agg_revenue": "record_date date, total_revenue decimal(38,2), total_profit decimal(38,2), "
     "total_orders int, updated_at timestamp",
 }
 

@@ -43,6 +43,11 @@ def number_by_digest(df: DataFrame, key: str, out: str) -> DataFrame:
     return number_rows(df, F.substring(digest, 1, HEX_DIGITS), [digest, F.col(key)], out)
 
 
+def numbered_current(dim: DataFrame, surrogate: str) -> DataFrame:
+    """The current rows of a dimension as (surrogate, rn), numbered 1..n."""
+    return number_by_integer(dim.filter("is_current").select(surrogate), surrogate, "rn")
+
+
 def number_by_integer(df: DataFrame, key: str, out: str) -> DataFrame:
     """Number rows by a unique non-negative integer, cut into equal value ranges.
 

@@ -67,9 +67,9 @@ def pick(choices: tuple[str, ...] | list[str], index: Column) -> Column:
 def hash_mod(c: Column, n: int | Column) -> Column:
     """A bucket in ``[0, n)`` from the text's md5, equal on every engine and run.
 
-    Seven hex digits stay below 2**28, so the number is never negative.
+    Fifteen hex digits stay below 2**60, so the number is never negative.
     """
-    head = F.conv(F.substring(F.md5(c.cast("binary")), 1, 7), 16, 10).cast("bigint")
+    head = F.conv(F.substring(F.md5(c.cast("binary")), 1, 15), 16, 10).cast("bigint")
     return F.pmod(head, n if isinstance(n, Column) else F.lit(n).cast("bigint"))
 
 

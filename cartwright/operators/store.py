@@ -53,6 +53,19 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def retain(self, last: int) -> None:
+        """Remove all but the newest ``last`` committed versions of every table, and failed writes before them.
+
+        For the end of a run, when nothing reads older versions any more.
+        """
+        fs, root = self._fs(self.root)
+        for status in fs.listStatus(root) if fs.exists(root) else []:
+            table = status.getPath().getName()
+            committed = [v for v in self._versions(table) if self._committed(table, v)] if status.isDirectory() else []
+            for old in self._versions(table) if len(committed) > last else []:
+                if old < committed[-last]:
+                    fs.delete(self._fs(f"{self.root}/{table}/v={old}")[1], True)
+
     def ensure(self, table: str, ddl: str) -> bool:
         """Create the table empty unless it exists; whether it was created."""
         if self.exists(table):

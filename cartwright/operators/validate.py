@@ -79,6 +79,9 @@ def load_failures(spec: EntitySpec) -> dict[str, Column]:
             number = strip(F.col(c))
             too_large = number.try_cast(MONEY_OF[kind]).isNull() & number.try_cast("double").isNotNull()
             rules[f"overflow:{c}"] = F.col(c).isNotNull() & too_large
+        elif kind == "int":
+            number = strip(F.col(c)).try_cast("double")
+            rules[f"overflow:{c}"] = number.isNotNull() & number.try_cast("int").isNull()
     return rules
 
 

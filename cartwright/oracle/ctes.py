@@ -36,7 +36,7 @@ def title(c: str) -> str:
 
 def h(named: str, n: str | int) -> str:
     """The md5-based bucket of a name."""
-    return f"(('0x' || substr(md5({named}), 1, 7))::BIGINT % {n})"
+    return f"(('0x' || substr(md5({named}), 1, 15))::BIGINT % {n})"
 
 
 METHOD = (
@@ -281,7 +281,7 @@ _TEXT = {
 _BAD = {
     "customers": {"country": "131p 103n", "acquisition_channel": "107e", "signup_date": "127d"},
     "products": {"category": "131p", "selling_price": "113f", "cost_price": "109m", "product_name": "103n"},
-    "orders": {"payment_method": "131p", "order_timestamp": "127d", "unit_price": "113f", "quantity": "109m",
+    "orders": {"payment_method": "131p", "order_timestamp": "127d", "unit_price": "113f", "quantity": "97l 109m",
                "order_status": "107i", "total_amount": "103n"},
     "payments": {"payment_method": "131p 103n", "payment_date": "127d", "amount": "113f 109m",
                  "payment_status": "107e"},
@@ -290,7 +290,7 @@ _BAD = {
     "returns": {"return_status": "131p", "return_date": "127d", "refund_amount": "113f 109m 103n",
                 "return_reason": "107e"},
 }
-_VALUE = {"n": "NULL", "e": "'Twitter'", "i": "'InProgress'", "d": "'not-a-date'", "f": "'free'", "m": "'-1'"}
+_VALUE = {"n": "NULL", "e": "'Twitter'", "i": "'InProgress'", "d": "'not-a-date'", "f": "'free'", "m": "'-1'", "l": "'99999999999'"}
 
 
 def _raw(entity: str) -> str:
@@ -344,6 +344,8 @@ def _reasons(entity: str, guard: bool, scope: str = "_source_file") -> str:
     for c, allowed in enums.items():
         found[f"enum:{c}"] = f"{c} NOT IN ({allowed})"
     if guard:
+        for c in integers.split():
+            found[f"overflow:{c}"] = f"coalesce(abs(try_cast(trim({c}) AS DOUBLE)) >= 2147483648, FALSE)"
         for c in refs.split():
             found[f"uuid:{c}"] = f"NOT regexp_matches({c}, '{UUID}')"
         for c in stamps.split():

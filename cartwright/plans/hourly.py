@@ -23,22 +23,31 @@ from ..streaming.loads import EntityLoad
 from . import bootstrap, transforms
 
 
+MARKER = "facts_marker"
+# Versions of each table that stay after a run, the current one included.
+VERSIONS_KEPT = 3
+
+
 def orders_to_bind(
-    staging: DataFrame, customers: DataFrame, products: DataFrame, at: Column
+    staging: DataFrame, customers: DataFrame, products: DataFrame, since: Column | None
 ) -> DataFrame:
     """The staged orders whose fact row can differ from the stored one.
 
-    Binding every staged order again would give the others the row they have:
-    only new or changed orders, and those whose customer or product got a new
-    current row in this run, come out differently.
+    ``since`` is when the last run began that published its facts. Binding every
+    staged order again would give the others the row they have: only orders
+    staged since then, by whichever runs, and those whose customer or product got
+    a new current row since then, come out differently. None takes every order.
     """
+    if since is None:
+        return staging
+
     def opened(dim: DataFrame, key: str, flag: str) -> DataFrame:
-        return current_rows(dim).filter(F.col("valid_from") >= at).select(key, F.lit(True).alias(flag))
+        return current_rows(dim).filter(F.col("valid_from") >= since).select(key, F.lit(True).alias(flag))
 
     marked = staging.join(opened(customers, "customer_id", "_c"), "customer_id", "left").join(
         opened(products, "product_id", "_p"), "product_id", "left"
     )
-    return marked.filter((F.col("_loaded_at") >= at) | F.col("_c") | F.col("_p")).select(*staging.columns)
+    return marked.filter((F.col("_loaded_at") >= since) | F.col("_c") | F.col("_p")).select(*staging.columns)
 
 
 @dataclass
@@ -70,6 +79,7 @@ class HourlyRun:
         violations = quality.constraint_violations(tables).agg(F.sum("violations")).first()[0]
         outside = quality.default_partition_rows(tables["fact_orders"], day).first()[0]
         refreshed = bootstrap.refresh_views(self.store, tables, day)
+        self.store.retain(VERSIONS_KEPT)
         return {"entities": loaded, "orphans_cleared": orphans, "violations": violations,
                 "default_partition_rows": outside, "views_refreshed": refreshed}
 
@@ -95,7 +105,7 @@ class HourlyRun:
         s = self.store
         dims = {n: s.read(n) for n in ("dim_customers", "dim_products", "dim_date")}
         orders = s.read("stg_orders")
-        stale = orders_to_bind(orders, dims["dim_customers"], dims["dim_products"], now)
+        stale = orders_to_bind(orders, dims["dim_customers"], dims["dim_products"], self.bound_up_to(now))
         rows = s.publish("fact_orders_batch", transforms.order_rows(stale, dims["dim_customers"], dims["dim_products"]))
         found = {
             "fact_orders": rows,
@@ -115,4 +125,13 @@ class HourlyRun:
             lambda: s.publish("fact_returns", sound["fact_returns"]),
             lambda: s.publish("agg_revenue", transforms.agg_revenue(s.read("agg_revenue"), s.read("stg_revenue"), orders, now)),
         ])
+        # Last: a run that stops before this leaves its orders to the next one.
+        s.publish(MARKER, s.spark.range(1).select(now.alias("bound_up_to")))
         return cleared
+
+    def bound_up_to(self, now: Column) -> Column | None:
+        """When the last run began whose facts are published; never later than this one."""
+        if not self.store.exists(MARKER):
+            return None
+        found = self.store.read(MARKER).select(F.least("bound_up_to", now).alias("at")).first()["at"]
+        return F.lit(found)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import DAILY_MONEY, MONEY, line_profit
+from ..functions.numbers import MONEY, WIDE_MONEY, line_profit
 from ..functions.times import calendar_columns, date_key
 from ..operators.history import assign_keys, current_rows, join_as_of, merge_history
 from ..operators.merge import delete_insert, insert_ignore, latest_per_key, upsert
@@ -144,21 +144,18 @@ def revenue_days(revenue: DataFrame, orders: DataFrame, at: Column, repeat_per_o
     yields those sums without building the joined rows. Without it a revenue
     row counts once.
     """
-    # A date had rows loaded recently exactly if its newest row was.
-    sums = recently_loaded(
-        revenue.groupBy("record_date").agg(
-            F.sum("total_revenue").alias("r"),
-            F.sum("total_profit").alias("p"),
-            F.max("_loaded_at").alias("_loaded_at"),
-        ),
-        at,
-    )
+    # The days to do again, from two columns; then only their rows are summed.
+    reopened = recently_loaded(revenue.select("record_date", "_loaded_at"), at).select("record_date").distinct()
+    sums = revenue.join(reopened, "record_date", "left_semi").groupBy("record_date").agg(
+        F.sum("total_revenue").alias("r"), F.sum("total_profit").alias("p"))
+    day = F.to_date("order_timestamp")
+    orders = orders.join(reopened, day == F.col("record_date"), "left_semi")
     times = F.coalesce("order_rows", F.lit(1)) if repeat_per_order else F.lit(1)
     times = times.cast("decimal(12,0)")
     return sums.join(_completed_per_day(orders), "record_date", "left").select(
         "record_date",
-        (F.col("r") * times).cast(DAILY_MONEY).alias("total_revenue"),
-        (F.col("p") * times).cast(DAILY_MONEY).alias("total_profit"),
+        (F.col("r") * times).cast(WIDE_MONEY).alias("total_revenue"),
+        (F.col("p") * times).cast(WIDE_MONEY).alias("total_profit"),
         F.coalesce("total_orders", F.lit(0)).cast("int").alias("total_orders"),
         at.alias("updated_at"),
     )
@@ -176,8 +173,8 @@ def agg_revenue_from_facts(agg: DataFrame, fact: DataFrame, at: Column) -> DataF
     done = fact.filter("order_status = 'Completed'").withColumn("record_date", F.to_date("order_timestamp"))
     per_order = done.groupBy("record_date", "order_id").agg(F.sum("revenue").alias("r"), F.sum("profit").alias("p"))
     days = per_order.groupBy("record_date").agg(
-        F.sum("r").cast(DAILY_MONEY).alias("total_revenue"),
-        F.sum("p").cast(DAILY_MONEY).alias("total_profit"),
+        F.sum("r").cast(WIDE_MONEY).alias("total_revenue"),
+        F.sum("p").cast(WIDE_MONEY).alias("total_profit"),
         F.count("*").cast("int").alias("total_orders"),
     )
     return upsert(agg, days.withColumn("updated_at", at), ["record_date"])

@@ -2,7 +2,6 @@
 
 from . import (  # noqa: F401  (importing registers)
     dashboards,
-    derived,
     expressions,
     quality,
     relational,

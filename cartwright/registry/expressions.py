@@ -51,15 +51,15 @@ def round_half_up(w: Warehouse):
 @query(
     "fn_f3",
     f"""
-    SELECT o_orderkey, CASE WHEN {h("CAST(o_orderkey AS VARCHAR) || '-status'", 100)} < 84 THEN 'Completed'
-                            WHEN {h("CAST(o_orderkey AS VARCHAR) || '-status'", 100)} < 93 THEN 'Pending'
-                            ELSE 'Cancelled' END AS status
+    SELECT o_orderkey, CASE WHEN {h("CAST(o_orderkey AS VARCHAR) || ':slot'", 64)} < 40 THEN 'low'
+                            WHEN {h("CAST(o_orderkey AS VARCHAR) || ':slot'", 64)} < 60 THEN 'middle'
+                            ELSE 'high' END AS band
     FROM orders""",
 )
 def weighted_case(w: Warehouse):
-    slot = hash_mod(F.concat(F.col("o_orderkey").cast("string"), F.lit("-status")), 100)
+    slot = hash_mod(F.concat(F.col("o_orderkey").cast("string"), F.lit(":slot")), 64)
     return orders(w).select(
-        "o_orderkey", F.when(slot < 84, "Completed").when(slot < 93, "Pending").otherwise("Cancelled").alias("status")
+        "o_orderkey", F.when(slot < 40, "low").when(slot < 60, "middle").otherwise("high").alias("band")
     )
 
 
@@ -197,13 +197,13 @@ def deterministic_ids(w: Warehouse):
 @query(
     "fn_f16",
     f"""
-    SELECT c_custkey, {choose(h('c_name', 4), ('Card', 'Bank Transfer', 'Mobile Money', 'PayPal'))} AS method
+    SELECT c_custkey, {choose(h('c_name', 4), ('north', 'east', 'south', 'west'))} AS region
     FROM customer""",
 )
 def array_choice(w: Warehouse):
     c = retail.read(w.spark, w.sf_dir, "customer")
-    methods = ("Card", "Bank Transfer", "Mobile Money", "PayPal")
-    return c.select("c_custkey", pick(methods, hash_mod(F.col("c_name"), 4)).alias("method"))
+    regions = ("north", "east", "south", "west")
+    return c.select("c_custkey", pick(regions, hash_mod(F.col("c_name"), 4)).alias("region"))
 
 
 @query(

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbering import number_by_integer
+from ..functions.numbering import number_by_integer, numbered_current
 from ..functions.numbers import safe_ratio, sum_or_zero
 from ..functions.text import hash_mod
 from ..operators import history, merge
@@ -15,7 +15,6 @@ from ..oracle.ctes import AS_OF as SQL_AS_OF
 from ..oracle.ctes import LATEST_LINE, h
 from ..plans import transforms
 from ..plans.cards import with_change
-from ..plans.derive import RETURNED_BELOW, pool
 from ..plans.views import COMPLETED, over_groups
 from ..plans.warehouse import Warehouse, ts
 from ..sources import retail
@@ -180,7 +179,7 @@ def cross_series(w: Warehouse):
 )
 def hash_bucket(w: Warehouse):
     """Each order picks a current customer by the hash of its identifier."""
-    people = pool(w["dim_customers"], "customer_sk")
+    people = numbered_current(w["dim_customers"], "customer_sk")
     size = people.agg(F.count("*").alias("n")).scalar()
     drawn = w["stg_orders"].select("order_id", (hash_mod(F.col("order_id"), size) + 1).alias("rn"))
     return drawn.join(people, "rn").select("order_id", "customer_sk")
@@ -489,23 +488,25 @@ def date_window(w: Warehouse):
 @query(
     "flt_null_safe_neq",
     """
-    SELECT a.customer_sk, b.customer_sk AS next_sk FROM d_customers a JOIN d_customers b USING (customer_id)
-    WHERE a.valid_to IS NOT NULL AND b.valid_to IS NULL
-      AND (a.customer_segment IS DISTINCT FROM b.customer_segment
-           OR a.valid_to IS DISTINCT FROM b.valid_to)""",
+    WITH v AS (SELECT customer_id, customer_sk, nullif(country, 'CHINA') AS country, acquisition_channel, customer_segment
+               FROM d_customers)
+    SELECT a.customer_sk, b.customer_sk AS next_sk,
+           a.country IS DISTINCT FROM b.country OR a.acquisition_channel IS DISTINCT FROM b.acquisition_channel
+               OR a.customer_segment IS DISTINCT FROM b.customer_segment AS differ,
+           a.country IS DISTINCT FROM b.country OR a.customer_segment IS DISTINCT FROM 'VIP' AS vip_differs
+    FROM v a JOIN v b ON a.customer_id = b.customer_id AND a.customer_sk <= b.customer_sk""",
 )
 def null_safe_neq(w: Warehouse):
-    """Closed and open versions of a customer that differ, where one side is always null."""
-    dc = w["dim_customers"].select("customer_id", "customer_sk", "customer_segment", "valid_to")
-    a = dc.filter("valid_to IS NOT NULL")
-    b = dc.filter("valid_to IS NULL").select(
-        "customer_id", F.col("customer_sk").alias("next_sk"), F.col("customer_segment").alias("next_segment"),
-        F.col("valid_to").alias("next_to"),
-    )
-    differ = history.differs(
-        [F.col("customer_segment"), F.col("valid_to")], [F.col("next_segment"), F.col("next_to")]
-    )
-    return a.join(b, "customer_id").filter(differ).select("customer_sk", "next_sk")
+    """Every two versions of a customer, one with itself too: whether the tracked columns differ, nulls included."""
+    tracked = ("country", "acquisition_channel", "customer_segment")
+    dc = w["dim_customers"].select("customer_id", "customer_sk", *tracked).withColumn(
+        "country", F.nullif(F.col("country"), F.lit("CHINA")))
+    b = dc.select("customer_id", *[F.col(c).alias(f"next_{c}") for c in ("customer_sk", *tracked)])
+    both = dc.join(b, "customer_id").filter("customer_sk <= next_customer_sk")
+    differ = history.differs([F.col(c) for c in tracked], [F.col(f"next_{c}") for c in tracked])
+    vip = history.differs([F.col("country"), F.col("customer_segment")], [F.col("next_country"), F.lit("VIP")])
+    return both.select(
+        "customer_sk", F.col("next_customer_sk").alias("next_sk"), differ.alias("differ"), vip.alias("vip_differs"))
 
 
 @query(
@@ -518,12 +519,15 @@ def recent_load(w: Warehouse):
     return transforms.recently_loaded(w["stg_revenue"], ts(AGG_AT)).select("revenue_id", "record_date")
 
 
+SAMPLED, SAMPLED_OF = 3, 64
+
+
 @query(
     "flt_hash_sample",
     f"""
-    SELECT order_id, order_status FROM f_orders WHERE {h("order_id || '-is-return'", 100)} < 8""",
+    SELECT order_id, order_status FROM f_orders WHERE {h("'sample:' || order_id", SAMPLED_OF)} < {SAMPLED}""",
 )
 def hash_sample(w: Warehouse):
     """A repeatable sample: the hash of the identifier decides."""
-    slot = hash_mod(F.concat(F.col("order_id"), F.lit("-is-return")), 100)
-    return w["fact_orders"].filter(slot < RETURNED_BELOW).select("order_id", "order_status")
+    slot = hash_mod(F.concat(F.lit("sample:"), F.col("order_id")), SAMPLED_OF)
+    return w["fact_orders"].filter(slot < SAMPLED).select("order_id", "order_status")

@@ -186,7 +186,7 @@ AGG_AT = "2000-07-01 01:00:00"
 
 def stale_aggregate(w: Warehouse):
     """Daily rows as an earlier run left them: every revenue day at zero."""
-    zero = F.lit(0).cast("decimal(15,2)")
+    zero = F.lit(0).cast("decimal(38,2)")
     return w["stg_revenue"].select(
         "record_date", zero.alias("total_revenue"), zero.alias("total_profit"), F.lit(0).alias("total_orders"),
         ts(retail.FIRST_LOAD).alias("updated_at"),

@@ -57,7 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def together(jobs: Iterable[Callable[[], object]]) -> list[object]:
-    """Run independent jobs side by side; Spark shares its tasks among them."""
+    """Submit independent jobs side by side: one that leaves cores idle lets the next one start.
+
+    With ``spark.scheduler.mode=FAIR`` they also share busy cores; by default the first goes first.
+    """
     with ThreadPoolExecutor(max_workers=8) as pool:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 

@@ -55,6 +55,9 @@ def stream_raw(spark: SparkSession, root: str, entity: str) -> DataFrame:
 
 def _csv(reader, root: str, entity: str) -> DataFrame:
     options = reader.schema(ENTITIES[entity].raw_schema).option("header", True).option("recursiveFileLookup", True)
+    # Quotes inside a quoted field are doubled, line breaks are part of it, a backslash is a character.
+    # A file is then read by one task: files are batches of minutes, and there are many.
+    options = options.option("escape", '"').option("multiLine", True)
     return options.csv(f"{root}/entity={entity}")
 
 

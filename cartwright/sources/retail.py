@@ -45,14 +45,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines, dealt out to all cores when their files allow fewer tasks.
-
-    One small file with one row group is read by one task however many cores
-    there are. A table with at least as many splits as cores is left alone.
-    """
-    rows = read(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """The order lines."""
+    return read(spark, sf_dir, "lineitem")
 
 
 def _lookup(c: Column, table: dict[str, str]) -> Column:
@@ -298,6 +292,9 @@ def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     if padded:
         spoil(padded, 131, F.concat(F.lit("  "), text[padded], F.lit(" ")))
     spoil(undated, 127, F.lit("not-a-date"))
+    if entity == "orders":
+        # More than an integer column can hold.
+        spoil("quantity", 97, F.lit("99999999999"))
     spoil(wordy, 113, F.lit("free"))
     spoil(negative, 109, F.lit("-1"))
     spoil(listed, 107, F.lit("InProgress" if entity == "orders" else "Twitter"))

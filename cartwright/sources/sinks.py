@@ -24,6 +24,7 @@ def write_dated_csv(df: DataFrame, root: str, entity: str, day: str, mode: str =
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
         .csv(f"{root}/entity={entity}")
     )
 

@@ -2,6 +2,9 @@
 
 from decimal import Decimal as D
 
+import pytest
+from pyspark.sql import functions as F
+
 from cartwright.operators.store import Store
 from cartwright.plans.hourly import HourlyRun
 from conftest import CUSTOMER, ORDER, PRODUCT, ROWS
@@ -57,3 +60,48 @@ def test_three_runs(spark, tmp_path):
     assert run.tables()["dim_customers"].count() == 2 and run.tables()["dim_inventory"].count() == 1
     assert spark.table("v_kpi_summary").first().total_orders == 2
     assert PRODUCT in {r.product_id for r in run.tables()["dim_products"].collect()}
+
+
+def test_a_stopped_run_loses_no_order(spark, tmp_path):
+    """Stopped after staging, then after the dimensions, then before the marker: the next run binds all."""
+    land = tmp_path / "landing"
+    run = HourlyRun(Store(spark, str(tmp_path / "store")), str(land))
+    ids = [f"{ORDER[:-2]}{n}" for n in (41, 42, 43, 44)]
+    write(land, "customers", "2024-06-15", line("customers"))
+    write(land, "products", "2024-06-15", line("products"))
+    write(land, "orders", "2024-06-15", line("orders", order_id=ids[0]))
+    run.run("2024-06-30", "2024-06-30 01:00:00")
+    at = F.lit("2024-06-30 02:00:00").cast("timestamp")
+    write(land, "orders", "2024-06-16", line("orders", order_id=ids[1]))
+    run.load(at)
+    at = F.lit("2024-06-30 03:00:00").cast("timestamp")
+    write(land, "orders", "2024-06-17", line("orders", order_id=ids[2]))
+    run.load(at)
+    run.dimensions(at)
+    write(land, "orders", "2024-06-18", line("orders", order_id=ids[3]))
+    publish = run.store.publish
+
+    def stop(table, df):
+        if table == "facts_marker":
+            raise RuntimeError("stopped")
+        return publish(table, df)
+
+    run.store.publish = stop
+    with pytest.raises(RuntimeError):
+        run.run("2024-06-30", "2024-06-30 04:00:00")
+    run.store.publish = publish
+    run.run("2024-06-30", "2024-06-30 05:00:00")
+    assert sorted(r.order_id for r in run.fact_orders().collect()) == ids
+    # A run at an earlier time is not lost either.
+    write(land, "orders", "2024-06-19", line("orders", order_id=ORDER))
+    run.run("2024-06-30", "2024-06-30 01:30:00")
+    assert run.fact_orders().count() == 5
+
+
+def test_old_versions_go(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for n in range(5):
+        store.publish("t", spark.range(n))
+    store.publish("u", spark.range(1))
+    store.retain(2)
+    assert store._versions("t") == [4, 5] and store._versions("u") == [1] and store.read("t").count() == 4

@@ -72,7 +72,7 @@ def test_no_view_needs_the_whole_fact_row(spark):
 
 
 def test_no_query_plan_has_a_cross_join_or_python(spark):
-    for name in ("view_kpi_summary", "join_cross_scalar", "join_cross_series", "der_order_rows", "val_orders",
+    for name in ("view_kpi_summary", "join_cross_scalar", "join_cross_series", "val_orders",
                  "stg_orders", "win_total_count", "join_hash_bucket"):
         plan = driver.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):

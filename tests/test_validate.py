@@ -123,3 +123,11 @@ def test_summary_counts_per_file(raw):
 def test_unknown_entity(raw):
     with pytest.raises(ValueError, match="No validator defined"):
         V.validate("suppliers", raw("customers"))
+
+
+def test_an_integer_that_does_not_fit_is_quarantined(raw):
+    from cartwright.plans import staging
+
+    batch = staging.check("orders", raw("orders", quantity="99999999999"))
+    assert [r["_reasons"] for r in batch.rejected.collect()] == ["overflow:quantity"]
+    assert staging.check("orders", raw("orders", quantity="2147483647")).accepted.first().quantity == 2147483647
