@@ -59,27 +59,27 @@ def _money(c: str) -> Column:
 
 @card("total_revenue")
 def total_revenue(tables, as_of, date_range=None):
-    return views.kpi_summary(tables, as_of).select(_money("total_revenue").alias("total_revenue"))
+    return views.stored_or_computed(tables, "kpi_summary", as_of).select(_money("total_revenue").alias("total_revenue"))
 
 
 @card("total_orders")
 def total_orders(tables, as_of, date_range=None):
-    return views.kpi_summary(tables, as_of).select("total_orders")
+    return views.stored_or_computed(tables, "kpi_summary", as_of).select("total_orders")
 
 
 @card("aov")
 def average_order_value(tables, as_of, date_range=None):
-    return views.kpi_summary(tables, as_of).select("avg_order_value")
+    return views.stored_or_computed(tables, "kpi_summary", as_of).select("avg_order_value")
 
 
 @card("gross_profit")
 def gross_profit(tables, as_of, date_range=None):
-    return views.kpi_summary(tables, as_of).select(_money("total_profit").alias("gross_profit"))
+    return views.stored_or_computed(tables, "kpi_summary", as_of).select(_money("total_profit").alias("gross_profit"))
 
 
 @card("customer_growth")
 def customer_growth(tables, as_of, date_range=None):
-    return views.kpi_summary(tables, as_of).select("customer_growth_rate_pct")
+    return views.stored_or_computed(tables, "kpi_summary", as_of).select("customer_growth_rate_pct")
 
 
 def with_change(quarters: DataFrame, value: str) -> DataFrame:
@@ -116,28 +116,33 @@ def profit_per_quarter(tables, as_of, date_range=None):
 
 @card("revenue_trend", ranged=True)
 def revenue_trend(tables, as_of, date_range=None):
-    trend = views.revenue_trend_daily(tables, as_of)
+    trend = views.stored_or_computed(tables, "revenue_trend_daily", as_of)
     return in_range(trend, "date", date_range).select("date", "daily_revenue").orderBy("date")
 
 
 @card("revenue_category")
 def revenue_by_category(tables, as_of, date_range=None):
-    return views.revenue_by_category(tables).select("category", "total_revenue")
+    rows = views.stored_or_computed(tables, "revenue_by_category", as_of)
+    return rows.select("category", "total_revenue").orderBy(F.col("total_revenue").desc(), "category")
 
 
 @card("revenue_channel")
 def revenue_by_channel(tables, as_of, date_range=None):
-    return views.revenue_by_channel(tables).select("acquisition_channel", "total_revenue")
+    rows = views.stored_or_computed(tables, "revenue_by_channel", as_of)
+    return rows.select("acquisition_channel", "total_revenue").orderBy(F.col("total_revenue").desc(), "acquisition_channel")
 
 
 @card("top_products")
 def top_products(tables, as_of, date_range=None):
-    return views.top_products_profit(tables).select("product_name", "category", "total_profit", "units_sold")
+    rows = views.stored_or_computed(tables, "top_products_profit", as_of)
+    best = rows.orderBy(F.col("total_profit").desc(), "product_name", "category")
+    return best.select("product_name", "category", "total_profit", "units_sold")
 
 
 @card("retention")
 def retention(tables, as_of, date_range=None):
-    return views.customer_retention(tables).select("customer_segment", "total_orders")
+    rows = views.stored_or_computed(tables, "customer_retention", as_of)
+    return rows.select("customer_segment", "total_orders").orderBy(F.col("total_orders").desc(), "customer_segment")
 
 
 @card("order_status")
@@ -147,7 +152,7 @@ def order_status(tables, as_of, date_range=None):
 
 @card("monthly_rev_profit", ranged=True)
 def monthly_revenue_profit(tables, as_of, date_range=None):
-    trend = in_range(views.revenue_trend_daily(tables, as_of), "date", date_range)
+    trend = in_range(views.stored_or_computed(tables, "revenue_trend_daily", as_of), "date", date_range)
     months = trend.groupBy(month_start(F.col("date")).alias("month"))
     return months.agg(
         F.sum("daily_revenue").alias("monthly_revenue"), F.sum("daily_profit").alias("monthly_profit")
@@ -157,7 +162,7 @@ def monthly_revenue_profit(tables, as_of, date_range=None):
 @card("margin_category")
 def margin_by_category(tables, as_of, date_range=None):
     margin = percent(F.col("total_profit"), F.col("total_revenue")).alias("profit_margin_pct")
-    by_category = views.revenue_by_category(tables).select("category", margin)
+    by_category = views.stored_or_computed(tables, "revenue_by_category", as_of).select("category", margin)
     return by_category.orderBy(F.col("profit_margin_pct").desc_nulls_first(), "category")
 
 

@@ -20,7 +20,7 @@ from ..operators.partitions import exists, read_months, replace_rows
 from ..operators.store import Store
 from ..session import together
 from ..streaming.loads import EntityLoad
-from . import bootstrap, transforms
+from . import bootstrap, transforms, views
 
 
 MARKER = "facts_marker"
@@ -66,7 +66,8 @@ class HourlyRun:
     def tables(self) -> dict[str, DataFrame]:
         names = ("dim_date", "dim_customers", "dim_products", "dim_inventory", "fact_payments", "fact_returns",
                  "agg_revenue")
-        return {**{n: self.store.read(n) for n in names}, "fact_orders": self.fact_orders()}
+        stored = [f"mv_{n}" for n in views.MATERIALIZED if self.store.exists(f"mv_{n}")]
+        return {**{n: self.store.read(n) for n in (*names, *stored)}, "fact_orders": self.fact_orders()}
 
     def run(self, as_of: str, at: str) -> dict[str, object]:
         """One run at a given day and time; returns counts for the log."""

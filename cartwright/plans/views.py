@@ -169,3 +169,10 @@ MATERIALIZED = {
     "customer_retention": customer_retention,
 }
 LIVE = {"order_status_distribution": order_status_distribution}
+
+
+def stored_or_computed(tables: Tables, name: str, as_of: Column) -> DataFrame:
+    """A view as its last refresh stored it; computed where ``tables`` has no stored one."""
+    if f"mv_{name}" in tables:
+        return tables[f"mv_{name}"]
+    return MATERIALIZED[name](tables, as_of)

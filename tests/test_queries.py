@@ -77,3 +77,14 @@ def test_no_query_plan_has_a_cross_join_or_python(spark):
         plan = driver.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert word not in plan, (name, word)
+
+
+STORED = ("total_revenue", "total_orders", "aov", "gross_profit", "customer_growth", "revenue_trend", "revenue_category",
+          "revenue_channel", "top_products", "retention", "monthly_rev_profit", "margin_category")
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_cards_on_stored_views_read_no_fact(spark, name):
+    w = warehouse(spark, SMALL)
+    plan = CARDS[name](w, as_of(), None)._jdf.queryExecution().executedPlan().toString()
+    assert "fact_orders" not in plan and "mv_" in plan
