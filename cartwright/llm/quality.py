@@ -16,6 +16,7 @@ ledger; ``doc_id`` may be null; other columns of the table are not looked at, an
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,15 +28,15 @@ WINDOW = 5
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
-# Rule name and the condition that fails a document, over the measurements. The
+# Rule name and the condition that fails a document, over its measurements. The
 # place in this list is the bit; new rules go to the end.
-RULES: tuple[tuple[str, str], ...] = (
-    ("too_few_words", "n_words < 10"),
-    ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
-    ("symbols", "100 * n_symbols > 40 * n_words"),
-    ("capitals", "100 * n_capitals > 30 * word_chars"),
-    ("repeated_lines", "100 * n_dup_lines > 40 * n_lines"),
-    ("word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words"),
+RULES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
+    ("too_few_words", lambda m: m.n_words < 10),
+    ("repeated_windows", lambda m: 100 * m.n_repeat_words > 20 * m.n_words),
+    ("symbols", lambda m: 100 * m.n_symbols > 40 * m.n_words),
+    ("capitals", lambda m: 100 * m.n_capitals > 30 * m.word_chars),
+    ("repeated_lines", lambda m: 100 * m.n_dup_lines > 40 * m.n_lines),
+    ("word_length", lambda m: (m.word_chars < 2 * m.n_words) | (m.word_chars > 25 * m.n_words)),
 )
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 BASE = BIT["too_few_words"] | BIT["repeated_windows"]
@@ -91,48 +92,55 @@ def repeat_words(tokens: Column) -> Column:
     return F.when(F.size(tokens) <= WINDOW, F.lit(0).cast("bigint")).otherwise(counted(tokens))
 
 
-def measure(texts: DataFrame) -> DataFrame:
-    """``texts`` (row, text) with one column per measurement in place of the text."""
-    text = F.col("text")
+def judged(text: Column) -> Column:
+    """The measurements of a text and ``failed``, the bits of the rules it fails, as one struct.
+
+    Words and lines are bound once. The optimizer may move the whole expression
+    into a filter, but it cannot copy its parts to every place that uses them.
+    """
+
+    def measured(w: Column, lines: Column) -> Column:
+        without = lambda pattern: F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
+        values = (
+            F.size(w),
+            F.char_length(F.array_join(w, "")),
+            without(r"[#*$%&|<>]+"),
+            F.size(lines) - F.size(F.array_distinct(lines)),
+            repeat_words(w),
+            F.size(lines),
+            without(r"\p{Lu}+"),
+        )
+        return F.struct(*[v.cast("bigint").alias(name) for name, v in zip(MEASURES, values)])
+
+    def with_bits(m: Column) -> Column:
+        bits = F.lit(0).cast("bigint")
+        for name, fails in RULES:
+            bits = bits.bitwiseOR(F.when(fails(m), F.lit(BIT[name])).otherwise(F.lit(0)).cast("bigint"))
+        return F.struct(*[m[name].alias(name) for name in MEASURES], bits.alias("failed"))
+
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
-    split = texts.select("*", words(text).alias("w"), lines.alias("lines"))
-    w = F.col("w")
-    return split.select(
-        "row",
-        F.size(w).cast("bigint").alias("n_words"),
-        F.char_length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
-        (F.char_length(text) - F.char_length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("bigint")
-        .alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        repeat_words(w).alias("n_repeat_words"),
-        F.size("lines").cast("bigint").alias("n_lines"),
-        (F.char_length(text) - F.char_length(F.regexp_replace(text, r"\p{Lu}+", ""))).cast("bigint")
-        .alias("n_capitals"),
-    )
+    return bind(bind(words(text), lambda w: bind(lines, lambda x: measured(w, x))), with_bits)
 
 
 def ledger(docs: DataFrame) -> DataFrame:
     """One row per document: ``row`` (its columns), the measurements, ``failed`` (the bits)."""
-    texts = packed(docs).select("row", F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
-    bits = F.lit(0).cast("bigint")
-    for name, fails in RULES:
-        bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("bigint"))
-    return measure(texts).select("row", *MEASURES, bits.alias("failed"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    return packed(docs).select("row", judged(text).alias("j")).select("row", "j.*")
 
 
-def apply_policy(judged: DataFrame, policy: Policy = CURRENT) -> DataFrame:
+def apply_policy(rows: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """A ledger with ``rejected`` (the policy's failed bits) and ``kept``."""
     hit = F.col("failed").bitwiseAND(F.lit(policy.mask).cast("bigint"))
-    return judged.select("*", hit.alias("rejected"), (hit == 0).alias("kept"))
+    return rows.select("*", hit.alias("rejected"), (hit == 0).alias("kept"))
 
 
-def ablations(judged: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
+def ablations(rows: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
     """Per policy and rule: documents failing it, and those that only it rejects.
 
     ``saved`` is what switching the rule off would keep. One pass over the
     ledger: distinct bit patterns (64 at most) are counted before anything else.
     """
-    patterns = judged.groupBy("failed").agg(F.count("*").alias("n"))
+    patterns = rows.groupBy("failed").agg(F.count("*").alias("n"))
     cells = F.explode(F.array(*[
         F.struct(F.lit(p.version).alias("version"), F.lit(r).alias("rule"), F.lit(p.mask).cast("bigint").alias("mask"),
                  F.lit(BIT[r]).cast("bigint").alias("bit"))
@@ -151,7 +159,7 @@ def ablations(judged: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Dat
 
 def keep(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The documents a policy keeps, with their own columns."""
-    return apply_policy(ledger(docs), policy).where("kept").select("row.*")
+    return apply_policy(ledger(docs).select("row", "failed"), policy).where("kept").select("row.*")
 
 
 def report(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
