@@ -18,12 +18,15 @@ other columns are not looked at.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,23 +45,107 @@ OPTIONS = {
 ROW_BITS = 33
 
 
+# Pieces remembered per Python worker, and characters encoded at a time.
+REMEMBERED, SLICE = 600_000, 4 << 20
+
+# White space next to a space: where a text may not be cut at that space.
+UNSAFE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNSAFE = f"{UNSAFE} | {UNSAFE}"
+
+
+# A pre-token also ends between a letter and the digit or mark that follows it, here checked for ASCII ones.
+LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
+MARKED = re.compile(f"( ?{LETTERS})([!-@\\[-`{{-~]+)")
+WORD = re.compile(f" ?{LETTERS}")
+
+
+@lru_cache(maxsize=1)
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte, by the byte's Latin-1 character."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
 @lru_cache(maxsize=2)
-def pieces(vocabulary: str) -> Remembered:
-    """Piece -> (its ids as little-endian 32-bit integers,)."""
+def pieces(vocabulary: str) -> Callable[[str], bytes]:
+    """Piece -> its ids as little-endian 32-bit integers.
+
+    Words and marks are encoded, what is made of several is put together from
+    them. A word is one pre-token, so it goes to the model itself.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    return Remembered(lambda piece: (np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<i4").tobytes(),))
+    model, letters = tokenizer.model, byte_letters()
+
+    def encode(piece: str) -> bytes:
+        if WORD.fullmatch(piece):
+            return array("i", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+        return array("i", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def put_together(piece: str) -> bytes:
+        if marked := MARKED.fullmatch(piece):
+            return words[marked[1]] + words[marked[2]]
+        parts = UNIT.findall(piece)
+        return words[piece] if len(parts) < 2 else b"".join([lookup(p) for p in parts])
+
+    # Words keep their place when the far more various combinations fill up theirs.
+    words, combined = Remembered(encode, REMEMBERED), Remembered(put_together, REMEMBERED // 3)
+
+    def lookup(piece: str) -> bytes:
+        found = words.get(piece)
+        return combined[piece] if found is None else found
+
+    return lookup
+
+
+def spaced(texts: pa.Array, known: Callable) -> list[np.ndarray]:
+    """Ids of texts in which every space stands alone: cut before each, distinct pieces looked up once."""
+    cut = pc.split_pattern(texts, " ")
+    offsets, distinct = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+    which = distinct.indices.to_numpy().astype(np.int64)
+    # The first piece of a text has no space before it.
+    first = cut.values.take(pa.array(offsets[:-1])).to_pylist()
+    found = [known(" " + p) for p in distinct.dictionary.to_pylist()]
+    which[offsets[:-1]] = len(found) + np.arange(len(first))
+    found += [known(p) for p in first]
+    sizes = np.array([len(f) // 4 for f in found], np.int64)
+    table, begins = np.frombuffer(b"".join(found), "<i4"), np.cumsum(sizes) - sizes
+    lengths = sizes[which]
+    ends = np.cumsum(lengths)
+    ids = table[np.arange(ends[-1]) + np.repeat(begins[which] - (ends - lengths), lengths)]
+    return np.split(ids, ends[offsets[1:-1] - 1])
+
+
+def ids_of(texts: pa.Array, known: Callable) -> list:
+    """Ids of each text, as arrays or bytes."""
+    unsafe = pc.match_substring_regex(texts, UNSAFE)
+    fast = texts.filter(pc.invert(unsafe))
+    done = iter(spaced(fast, known) if len(fast) else [])
+    return [
+        b"".join([known(u) for u in UNIT.findall(texts[i].as_py())]) if slow else next(done)
+        for i, slow in enumerate(unsafe.to_pylist())
+    ]
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about ``SLICE`` bytes of text; a longer text is a run of its own."""
+    sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + SLICE, "right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def encoder(vocabulary: str) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cut, end = pieces(vocabulary), UNIT.findall, np.array([END], "<i4").tobytes()
+        known, end = pieces(vocabulary), np.array([END], "<i4").tobytes()
         for b in batches:
-            # A few documents at a time: ids of a whole batch would be held twice.
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                rows = [b"".join([known[u][0] for u in cut(t.as_py())]) + end for t in part.column(1)]
+            for part in slices(b):
+                rows = [bytes(r) + end for r in ids_of(part.column(1), known)]
                 offsets = np.cumsum([0] + [len(r) // 4 for r in rows], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])

@@ -22,14 +22,15 @@ REMEMBERED, LONGEST = 300_000, 64
 class Remembered(dict):
     """Piece -> what ``encode`` makes of it; forgets everything when full."""
 
-    def __init__(self, encode: Callable[[str], tuple]):
+    def __init__(self, encode: Callable[[str], object], most: int = REMEMBERED):
         super().__init__()
         self.encode = encode
+        self.most = most
 
-    def __missing__(self, piece: str) -> tuple:
+    def __missing__(self, piece: str):
         value = self.encode(piece)
         if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[piece] = value
         return value
