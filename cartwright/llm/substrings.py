@@ -266,20 +266,16 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("digest"))
 
 
-def shared_grams(docs: DataFrame, hot: int) -> DataFrame:
+def shared_grams(found: DataFrame, hot: int) -> DataFrame:
     """Grams that are an anchor in two documents or more, and whether there are very many."""
-    found = keyed(docs).select("id", "digest", "text").mapInArrow(find_anchors, ANCHORS)
     return (
         found.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high").select("gram", "n", (F.col("n") > hot).alias("hot"))
     )
 
 
-def with_spots(docs: DataFrame, shared: DataFrame) -> DataFrame:
+def with_spots(texts: DataFrame, found: DataFrame, shared: DataFrame) -> DataFrame:
     """Every row with its shared anchors; rows without any are finished, and lose their text."""
-    texts = keyed(docs)
-    # Anchors are found a second time: that costs less than keeping those of all texts.
-    found = texts.select("id", "digest", "text").mapInArrow(find_anchors, ANCHORS)
     spots = found.join(shared.select("gram", "hot"), "gram").groupBy("id", "digest").agg(
         F.collect_set(F.struct("gram", "place", "before", "after", "hot")).alias("spots"))
     return texts.join(spots, ["id", "digest"], "left").select(
@@ -304,9 +300,11 @@ def repeated_runs(texts: DataFrame, contexts: int, group: int) -> DataFrame:
 
 def report(docs: DataFrame, hot: int = HOT, group: int = GROUP) -> DataFrame:
     """Per document: its words, how many of them go, and a digest of those that stay."""
-    shared = stored(shared_grams(docs, hot), "substring-shared")
+    texts = keyed(docs)
+    found = stored(texts.select("id", "digest", "text").mapInArrow(find_anchors, ANCHORS), "substring-anchors")
+    shared = stored(shared_grams(found, hot), "substring-shared")
     contexts = shared.where("not hot").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rows = stored(with_spots(docs, shared), "substring-rows")
+    rows = stored(with_spots(texts, found, shared), "substring-rows")
     kept = rows.where("spots is not null").select("doc_id", "id", "digest", "text", "spots")
     runs = repeated_runs(kept.select("id", "digest", "text", "spots"), contexts, group)
     runs = runs.groupBy("id", "digest").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
