@@ -1,22 +1,20 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by an exact blocked comparison.
 
-In each pass a vector gets the signs of ``BITS`` random projections, and all
-vectors are ordered by them, lexicographically; the earlier projections weigh
-more, and every pass has its own. Each vector is compared with the ``NEIGHBOURS``
-next ones in that order, in double precision. Verified pairs of all passes are
-united into components. A pass is a range partition and a sort; the window does
-not reach across the border of two partitions, which other passes make up for.
+Every vector belongs to the nearest of a few pivots, vectors of the table with
+the smallest hashes. A pivot's group has a radius, the widest angle to its
+pivot; two groups whose pivots stand further apart than both radii and the
+angle of the threshold have no link between them and never meet. All other
+groups meet, in tiles: a group is dealt into chunks of a bounded number of
+values, and each pair of chunks is a task of its own that multiplies them in
+double precision. So no link is missed, whatever the data; the price is the
+square of the number of different vectors, less the groups kept apart.
 
-Equal vectors are one class with a count before anything else, so a vector that
-a third of all rows share is compared once. A window only reports pairs that unite
-something new in it, so a pass writes no more rows than it reads.
+A tile returns the links per class, and of its pairs only those that unite
+something new in it, so it writes no more rows than it reads. These pairs give
+the components.
 
-Windows cannot see all pairs of a cluster larger than they are. So the second
-step compares all classes inside each component, in tiles of ``TILE`` x ``TILE``
-which different tasks work on, and sums the links per class; no pair is written.
-What can be missed is a link between components that no pass has found; the
-tests measure recall against brute force. Which components there are depends on
-the passes; a cluster of very many different vectors costs its square in tiles.
+Equal vectors are one class with a count before anything else, so a vector that
+a third of all rows share is compared once.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, nor do those of another length; rows without a
@@ -28,7 +26,6 @@ result; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +36,12 @@ from ..session import stored
 from .components import components
 
 COSINE = 0.9
-PASSES, BITS, NEIGHBOURS = 24, 48, 32
+# Values of a chunk, at least and at most; between them a table has about CHUNKS of them.
+VALUES, CHUNKS = (1 << 18, 1 << 22), 32
+PIVOTS = 256
 TILE = 2048
-SEED = 7
+# Angles of nearly equal vectors are this inexact.
+SLACK = 1e-6
 
 
 def usable(vector: Column) -> Column:
@@ -56,11 +56,6 @@ def name(vector: Column) -> Column:
     return F.concat(*parts)
 
 
-@lru_cache(maxsize=64)
-def projections(number: int, dimension: int) -> np.ndarray:
-    return np.random.default_rng((SEED, number, dimension)).standard_normal((dimension, BITS))
-
-
 def unit(vectors: pa.Array) -> np.ndarray:
     """Vectors of equal length as rows of length one."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -76,116 +71,148 @@ def by_length(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(sizes == d))
 
 
-def keys(number: int) -> Callable:
-    """(class, vector) -> with the pass's key, whose bytes order as its bits do."""
+def pivots(classes: DataFrame, counts: dict[int, int], size: int | None) -> dict[int, np.ndarray]:
+    """Per vector length with more than one chunk, unit vectors that stand for its groups."""
+    every = {d: -(-n // min(PIVOTS, -(-n // rows_of(d, n, size)))) for d, n in counts.items() if n > rows_of(d, n, size)}
+    if not every:
+        return {}
+    lengths = classes.sparkSession.createDataFrame(list(every.items()), "length int, every bigint")
+    drawn = classes.join(lengths, F.size("vector") == F.col("length")).where(
+        F.pmod(F.xxhash64(F.lit("pivot"), "class"), "every") == 0).select("class", "vector").collect()
+    out = {}
+    for d in every:
+        chosen = sorted((r["class"], r["vector"]) for r in drawn if len(r["vector"]) == d)
+        if chosen:
+            out[d] = unit(pa.array([v for _, v in chosen], pa.list_(pa.float64())))
+    return out
+
+
+def rows_of(length: int, count: int, size: int | None) -> int:
+    """How many vectors a chunk has."""
+    least, most = (max(1, v // length) for v in VALUES)
+    return size or min(max(least, -(-count // CHUNKS)), most)
+
+
+def grouped(centers: dict[int, np.ndarray]) -> Callable:
+    """(class, vector) -> with the number of the nearest pivot of its length, and the angle to it."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in by_length(b, 1):
                 x = unit(part.column(1))
-                bits = np.packbits(x @ projections(number, x.shape[1]) > 0, axis=1)
-                head = np.full((len(bits), 4), list(x.shape[1].to_bytes(4, "big")), np.uint8)
-                key = [r.tobytes() for r in np.hstack([head, bits])]
+                near, angle = np.zeros(len(x), np.int32), np.full(len(x), np.pi)
+                if (c := centers.get(x.shape[1])) is not None:
+                    cosine = x @ c.T
+                    near = cosine.argmax(axis=1).astype(np.int32)
+                    angle = np.arccos(np.clip(cosine.max(axis=1), -1, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(key, pa.binary())], names=["class", "vector", "key"])
+                    [part.column(0), part.column(1), pa.array(np.full(len(x), x.shape[1], np.int32)), pa.array(near), pa.array(angle)],
+                    names=["class", "vector", "length", "near", "angle"])
 
     return add
 
 
-def linked(x: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
-    """Pairs of neighbours in the window that are close enough and unite something new."""
-    root = np.arange(len(x))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for d in range(1, min(NEIGHBOURS, len(x) - 1) + 1):
-        close = np.einsum("ij,ij->i", x[:-d], x[d:]) >= least
-        for i in np.flatnonzero(close & (root[:-d] != root[d:])).tolist():
-            a, b = find(i), find(i + d)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                yield i, i + d
-        while not np.array_equal(root, root[root]):
-            root = root[root]
+def meetings(groups: list, centers: dict[int, np.ndarray], counts: dict[int, int], least: float, size: int | None) -> list[tuple]:
+    """(root, chunks, other, other_chunks) of the groups that may have links between them, either way round.
 
+    ``groups`` has a row (length, near, n, angle) per group.
+    """
+    out, widest = [], np.arccos(np.clip(least, -1, 1)) + SLACK
+    for d in sorted({g["length"] for g in groups}):
+        own = sorted((g for g in groups if g["length"] == d), key=lambda g: g["near"])
+        near, radius = [g["near"] for g in own], np.array([g["angle"] for g in own])
+        chunks = [-(-g["n"] // rows_of(d, counts[d], size)) for g in own]
+        if d in centers:
+            between = np.arccos(np.clip(centers[d][near] @ centers[d][near].T, -1, 1))
+            meet = between <= radius[:, None] + radius[None, :] + widest
+        else:
+            meet = np.ones((len(own), len(own)), bool)
+        np.fill_diagonal(meet, True)
+        out += [(f"{d}:{near[i]}", chunks[i], f"{d}:{near[j]}", chunks[j]) for i, j in np.argwhere(meet).tolist()]
+    return out
 
-def windows(least: float) -> Callable:
-    """Sorted (class, vector, key) of a partition -> linked pairs of classes."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        for b in batches:
-            if tail is not None:
-                b = pa.concat_batches([tail, b])
-            tail = b.slice(max(0, b.num_rows - NEIGHBOURS))
-            a, z = [], []
-            for part in by_length(b, 1):
-                names = part.column(0).to_pylist()
-                for i, j in linked(unit(part.column(1)), least):
-                    a.append(names[i])
-                    z.append(names[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(z, pa.string())], names=["a", "b"])
-
-    return compare
-
-
-def pairs(classes: DataFrame, least: float = COSINE, passes: int = PASSES) -> DataFrame:
-    """Links of (class, vector) that unite what the windows of all passes see."""
-    found = None
-    for number in range(passes):
-        keyed = classes.mapInArrow(keys(number), "class string, vector array<double>, key binary")
-        placed = keyed.repartitionByRange("key", "class").sortWithinPartitions("key", "class")
-        one = placed.mapInArrow(windows(least), "a string, b string")
-        found = one if found is None else found.unionByName(one)
-    return found
+TILED = "class string, links bigint, peer string"
 
 
 def tile(least: float) -> Callable:
-    """The members of two chunks of a component -> links per class, each counted with its copies."""
+    """The members of two chunks -> links per class, each counted with its copies, and pairs that unite them."""
 
-    def count(key: tuple, group: pa.Table) -> pa.Table:
+    def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        i, j = (k.as_py() for k in key[1:])
+        names = group.column("class").to_pylist()
         x = unit(group.column("vector").combine_chunks())
-        chunk, copies = group.column("chunk").to_numpy(), group.column("copies").to_numpy().astype(np.float64)
-        links = np.zeros(len(x))
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        first, second = (group.column(c).to_numpy() for c in ("first", "second"))
+        copies = group.column("copies").to_numpy().astype(np.float64)
+        links, root, pairs = np.zeros(len(x)), np.arange(len(x)), []
+        left, right = np.flatnonzero(first), np.flatnonzero(second)
+        same = bool((first & second).any())
         for at in range(0, len(left), 512):
             rows = left[at:at + 512]
             close = x[rows] @ x[right].T >= least
-            if i == j:
+            if same:
                 close &= rows[:, None] != right[None, :]
                 links[rows] += close @ copies[right]
             else:
                 links[rows] += close @ copies[right]
                 links[right] += copies[rows] @ close
-        return pa.table({"class": group.column("class"), "links": pa.array(np.rint(links).astype(np.int64))})
+            for k in np.flatnonzero(close.any(axis=1)).tolist():
+                own = root[rows[k]]
+                met = root[right[close[k]]]
+                for other in np.unique(met[met != own]).tolist():
+                    pairs.append((int(own), other))
+                    root[root == other] = own
+        some = np.flatnonzero(links)
+        return pa.table({
+            "class": pa.array([names[i] for i in some] + [names[a] for a, _ in pairs], pa.string()),
+            "links": pa.array(np.rint(links[some]).astype(np.int64).tolist() + [0] * len(pairs), pa.int64()),
+            "peer": pa.array([None] * len(some) + [names[b] for _, b in pairs], pa.string()),
+        })
 
-    return count
+    return compare
 
 
-def count_links(members: DataFrame, least: float = COSINE, size: int = TILE) -> DataFrame:
-    """(class, links) inside each component; ``members`` has (root, class, vector, copies)."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"))
-    chunks = F.ceil(F.col("n") / size).cast("int")
-    placed = members.join(sizes, "root").select(
-        "*", chunks.alias("chunks"), F.pmod(F.xxhash64(F.lit("tile"), "class"), chunks).cast("int").alias("chunk"))
-    # A chunk meets every chunk, itself too, once.
-    met = placed.select("root", "class", "vector", "copies", "chunk", F.explode(
-        F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+def compared(members: DataFrame, met: DataFrame, least: float) -> DataFrame:
+    """What :func:`tile` returns for all chunks of groups that meet.
+
+    ``members`` has (root, class, vector, copies), ``met`` the columns of :func:`meetings`.
+    """
+    sent = members.join(met, "root").select(
+        "root", "class", "vector", "copies", "other",
+        F.pmod(F.xxhash64(F.lit("tile"), "class"), "chunks").cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("other_chunks").cast("int") - 1)).alias("other_chunk"))
+    own, there = F.struct("root", "chunk"), F.struct(F.col("other").alias("root"), F.col("other_chunk").alias("chunk"))
     return (
-        met.select("root", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                   "class", "vector", "copies", "chunk")
-        .groupBy("root", "i", "j").applyInArrow(tile(least), "class string, links bigint")
-        .groupBy("class").agg(F.sum("links").alias("links"))
+        sent.select(F.least(own, there).alias("i"), F.greatest(own, there).alias("j"),
+                    (own <= there).alias("first"), (own >= there).alias("second"), "class", "vector", "copies")
+        .groupBy("i", "j").applyInArrow(tile(least), TILED)
     )
 
 
-def report(vectors: DataFrame, least: float = COSINE, passes: int = PASSES) -> DataFrame:
+def count_links(members: DataFrame, least: float = COSINE, size: int = TILE) -> DataFrame:
+    """(class, links) inside each group; ``members`` has (root, class, vector, copies)."""
+    chunks = F.ceil(F.count("*") / size).cast("bigint")
+    met = members.groupBy("root").agg(chunks.alias("chunks"), chunks.alias("other_chunks")).withColumn("other", F.col("root"))
+    return compared(members, met, least).where("peer is null").groupBy("class").agg(F.sum("links").alias("links"))
+
+
+def tiles(classes: DataFrame, copies: DataFrame, least: float = COSINE, size: int | None = None) -> DataFrame:
+    """Links per class and uniting pairs of all (class, vector); ``copies`` has (class, copies).
+
+    The driver sees a row per vector length and per group; ``size`` overrides the vectors of a chunk.
+    """
+    counts = {r["d"]: r["n"] for r in classes.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).collect()}
+    centers = pivots(classes, counts, size)
+    members = classes.mapInArrow(grouped(centers), "class string, vector array<double>, length int, near int, angle double")
+    members = stored(members.join(copies, "class").select(
+        F.concat_ws(":", "length", "near").alias("root"), "length", "near", "angle", "class", "vector", "copies"), "embedding-members")
+    groups = members.groupBy("length", "near").agg(F.count("*").alias("n"), F.max("angle").alias("angle")).collect()
+    met = classes.sparkSession.createDataFrame(
+        meetings(groups, centers, counts, least, size), "root string, chunks bigint, other string, other_chunks bigint")
+    return compared(members.select("root", "class", "vector", "copies"), met, least)
+
+
+def report(vectors: DataFrame, least: float = COSINE, size: int | None = None) -> DataFrame:
     """Per vector: links, the smallest id of its component, and whether it is that one."""
     vector = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("vector"))
@@ -198,12 +225,11 @@ def report(vectors: DataFrame, least: float = COSINE, passes: int = PASSES) -> D
     copies = ids.where("class is not null").distinct().groupBy("class").agg(
         F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     copies = stored(copies, "embedding-copies")
-    roots = components(stored(pairs(classes, least, passes), "embedding-pairs"), "a", "b").select(
-        F.col("node").alias("class"), "root")
+    tiled = stored(tiles(classes, copies.select("class", "copies"), least, size), "embedding-tiles")
+    links = tiled.where("peer is null").groupBy("class").agg(F.sum("links").alias("links"))
+    roots = components(tiled.where("peer is not null"), "class", "peer").select(F.col("node").alias("class"), "root")
     named = stored(copies.join(roots, "class", "left").select("class", "copies", "low", F.coalesce("root", "class").alias("root")),
                    "embedding-roots")
-    united = roots.join(classes, "class").join(copies.select("class", "copies"), "class")
-    links = count_links(united.select("root", "class", "vector", "copies"), least)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     summary = named.join(lowest, "root").join(links, "class", "left").select(
         "class", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))

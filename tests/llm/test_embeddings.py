@@ -75,5 +75,42 @@ def test_tiles_count_every_link_once(spark):
     assert a == b and sum(a.values()) == 2 * brute(rows)[1]
 
 
+def crowded(n, topics, spread, seed=11, size=64):
+    """Vectors around a few topics, and a pair at cosine 0.91 for every tenth."""
+    rng = np.random.default_rng(seed)
+    center = rng.standard_normal((topics, size))
+    x = center[rng.integers(topics, size=n)] + spread * rng.standard_normal((n, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    v = x[::10]
+    w = rng.standard_normal(v.shape)
+    w -= (w * v).sum(axis=1, keepdims=True) * v
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    return np.vstack([x, 0.91 * v + (1 - 0.91**2) ** 0.5 * w])
+
+
+def test_every_link_of_crowded_vectors(spark):
+    """Also where topics are dense: links and components equal brute force, over one chunk and over many."""
+    for n, topics, spread, chunk in ((500, 5, 0.7, None), (2400, 12, 0.3, 300), (2400, 3, 0.6, 700)):
+        x = crowded(n, topics, spread)
+        got = sorted(map(tuple, embeddings.report(frame(spark, list(enumerate(x.tolist()))), size=chunk).collect()))
+        close = x @ x.T >= 0.9
+        np.fill_diagonal(close, False)
+        low = np.arange(len(x))
+        while True:
+            new = np.array([min(low[i], low[c].min(initial=len(x))) for i, c in enumerate(close)])
+            if (new == low).all():
+                break
+            low = new
+        assert [r[:3] for r in got] == [(i, int(k), int(low[i])) for i, k in enumerate(close.sum(axis=1))]
+
+
+def test_groups_far_apart_do_not_meet():
+    centers = {2: np.array([[1.0, 0.0], [0.0, 1.0], [0.94, 0.342]])}
+    groups = [dict(length=2, near=i, n=n, angle=0.1) for i, n in enumerate((10, 25, 10))]
+    met = embeddings.meetings(groups, centers, {2: 45}, 0.9, 10)
+    assert {(a, b) for a, _, b, _ in met} == {("2:0", "2:0"), ("2:1", "2:1"), ("2:2", "2:2"), ("2:0", "2:2"), ("2:2", "2:0")}
+    assert {(a, n) for a, n, _, _ in met} == {("2:0", 1), ("2:1", 3), ("2:2", 1)}
+
+
 def test_empty_table(spark):
     assert embeddings.report(frame(spark, [])).collect() == []
