@@ -106,7 +106,7 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN s{mixing.FILLS
 @query(_mix_sql())
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
-    return mixing.report(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return mixing.report(table(spark, sf_dir, "documents", "doc_id", "source", "text"), whole=False)
 
 
 @query()

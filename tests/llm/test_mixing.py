@@ -77,6 +77,19 @@ def test_inclusion_follows_the_odds(spark):
     assert all(12 <= hits[i] <= 24 for i in range(20, 60)) and len({hits[i] for i in range(20, 60)}) > 2
 
 
+def test_a_large_unit_does_not_cost_the_target(spark):
+    """Behind a document, or rows without an id, that do not fit, the draw goes on."""
+    rows = [(i, "w " * 100, "x") for i in range(300)] + [(900, "w " * 15000, "x")]
+    rows += [(i, "w " * 100, "y") for i in range(1000, 1300)] + [(None, f"n{i} " * 100, "y") for i in range(150)]
+    df = docs(spark, rows + [(2000 + i, "w " * 5000, "z") for i in range(6)])
+    # With this seed the large document and the id that rows without one used to share both come too early to fit.
+    taken = Counter()
+    for r in mixing.report(df, seed="t2", share=1.1, cap=1.4).collect():
+        taken[r.target, r.source_size] += r.taken
+    sources = [(target, t) for (target, words), t in taken.items() if words == 45000]
+    assert len(sources) == 2 and all(abs(t - target) <= 100 for target, t in sources)
+
+
 def test_empty_and_wordless_tables(spark):
     assert mixing.report(docs(spark, [])).collect() == []
     assert [(r.target, r.taken) for r in mixing.report(docs(spark, [(1, None, None), (None, " ", "s")])).collect()] == [(0, 0)] * 2
