@@ -2,8 +2,10 @@
 
 A text is cut into sentences at line ends and at stops that are followed by
 white space. A normalised sentence (small letters, other characters as single
-spaces) is looked up in a table of known licence sentences, which gives its
-identifier. What is left of a text is the short sequence of identifiers, in
+spaces, so comment marks go; list marks of a line go too) is looked up in a table
+of known licence sentences, which gives its identifier. A sentence may also run
+over several lines of a paragraph, from the start of one to the end of another:
+hard-wrapped texts have theirs like that. What is left of a text is the short sequence of identifiers, in
 order. A rule is an ordered list of identifiers; it matches where they follow
 each other in the sequence, with at most ``GAP`` other known sentences between
 neighbours. Of two rules, the longer one claims its sentences first.
@@ -105,6 +107,38 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     ),
     "cc0-short": ("This work is released under CC0 1.0", "To the extent possible under law, the author has waived all "
                   "copyright and related or neighboring rights to this work"),
+    "gpl2-short": (
+        "This program is licensed under the GNU General Public License, version 2",
+        "Licensed under the GNU General Public License, version 2",
+    ),
+    "gpl2-free": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License version 2 as published by the Free Software Foundation",
+    ),
+    "lgpl3-short": ("Licensed under the GNU Lesser General Public License, version 3",),
+    "lgpl3-free": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version",
+    ),
+    "lgpl21-free": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version",
+    ),
+    "agpl3-short": ("Licensed under the GNU Affero General Public License, version 3",),
+    "agpl3-free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version",
+    ),
+    "unlicense-free": ("This is free and unencumbered software released into the public domain",),
 }
 
 
@@ -128,6 +162,14 @@ RULES = (
     Rule("GPL-3.0", ("gpl-free", "gpl-hope")),
     Rule("GPL-3.0", ("gpl-free",)),
     Rule("GPL-3.0", ("gpl3-short",)),
+    Rule("GPL-2.0", ("gpl2-free",)),
+    Rule("GPL-2.0", ("gpl2-short",)),
+    Rule("LGPL-3.0", ("lgpl3-free",)),
+    Rule("LGPL-3.0", ("lgpl3-short",)),
+    Rule("LGPL-2.1", ("lgpl21-free",)),
+    Rule("AGPL-3.0", ("agpl3-free",)),
+    Rule("AGPL-3.0", ("agpl3-short",)),
+    Rule("Unlicense", ("unlicense-free",)),
     Rule("MPL-2.0", ("mpl-short",)),
     Rule("CC-BY-4.0", ("ccby-short",)),
     Rule("CC-BY-SA-4.0", ("ccbysa-short",)),
@@ -135,6 +177,7 @@ RULES = (
     Rule("CC0-1.0", ("cc0-short",)),
 )
 
+STOP = r"[.!?]+[\x20\x09-\x0D]+"
 BREAK = r"\n+|[.!?]+[\x20\x09-\x0D]+"
 
 
@@ -152,16 +195,44 @@ def normalised(sentence: Column) -> Column:
 KNOWN = {normal(s): name for name, variants in SENTENCES.items() for s in variants}
 LONGEST = max(map(len, KNOWN))
 # A known sentence has at least this word in it; other sentences are not normalised.
-CUES = r"(?i)licens|permi|redistribut|contributors|copyright|warrant|CC0|CC BY"
+CUES = r"(?i)licens|permi|redistribut|contributors|copyright|warrant|CC0|CC BY|public domain"
+# Line ends of a normalised paragraph; an empty line leaves two of them.
+EDGE = "|"
+MARK = r"(?m)^[^\S\n]*(?:(?i:dnl|rem)\b)?[^A-Za-z0-9\n]*(?:(?:[0-9]{1,2}|[A-Za-z]|[ivx]{1,4})\)[^\S\n])?"
+
+
+def wrapped(sentence: str) -> str:
+    """A pattern for a normalised sentence, on one line or over several."""
+    return sentence.replace(" ", f"[ {EDGE}]")
+
+
+def known_lines() -> str:
+    """A pattern for a known sentence that fills whole lines, the longest one that starts there.
+
+    A line that is a sentence of its own, followed by the rest of the longer one as another, stays one.
+    """
+    ends = rf"(?=[{EDGE}]|$)"
+    halves = [
+        rf"{wrapped(s)}(?=[{EDGE}]{wrapped(k[len(s) + 1:])}(?:[{EDGE}]|$))"
+        for k in KNOWN for s in KNOWN if k.startswith(s + " ") and k[len(s) + 1:] in KNOWN]
+    longest = [wrapped(k) + ends for k in sorted(KNOWN, key=len, reverse=True)]
+    return rf"(?:^|(?<=[{EDGE}]))(?:{'|'.join(halves + longest)})"
+
+
+LINES = known_lines()
 
 
 def identifiers(text: Column) -> Column:
     """The known sentences of a text, as identifiers in order."""
-    sentences = F.filter(F.split(text, BREAK, -1), lambda s: F.rlike(s, F.lit(CUES)))
+    sentences = F.filter(F.split(text, STOP, -1), lambda s: F.rlike(s, F.lit(CUES)))
     names = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    plain = F.transform(sentences, normalised)
-    known = F.filter(plain, lambda s: s.isin(*KNOWN))
-    found = F.transform(known, lambda s: F.element_at(names, s))
+
+    def lines(sentence: Column) -> Column:
+        marked = F.regexp_replace(F.regexp_replace(F.lower(sentence), MARK, ""), "[^a-z0-9\n]+", " ")
+        return F.regexp_replace(F.btrim(marked, F.lit(" \n")), " ?\n ?", EDGE)
+
+    known = F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(lines(s), F.lit(LINES), F.lit(0))))
+    found = F.transform(known, lambda s: F.element_at(names, F.translate(s, EDGE, " ")))
     return F.when(F.rlike(text, F.lit(CUES)), found).otherwise(F.array().cast("array<string>"))
 
 

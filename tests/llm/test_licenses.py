@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from cartwright.llm import licenses
 from .helpers import AWKWARD, docs
@@ -52,6 +53,34 @@ def test_every_known_sentence_has_a_cue_and_is_found_alone(spark):
     assert all(s in licenses.SENTENCES for rule in licenses.RULES for s in rule.sentences)
 
 
+def hard(*paragraphs, width=72, mark="", end="\n"):
+    """Paragraphs as licence files and file headers have them."""
+    lines = [line for p in paragraphs for line in [*textwrap.wrap(p, width), ""]]
+    return end.join(mark + line for line in lines)
+
+
+MIT = ("MIT License", "Copyright (c) 2020 Somebody", S["mit-grant"], S["mit-notice"] + ".", "THE SOFTWARE IS PROVIDED \"AS IS\".")
+BSD = ("Copyright (c) 2020, Somebody", S["bsd-grant"], f"1. {S['bsd-source']}.", f"2) {S['bsd-binary']}.", f"(c) {S['bsd-name']}.")
+WRAPPED = [
+    (hard(*MIT), "mit-short,mit-grant,mit-notice", "MIT"), (hard(*MIT, width=40, mark=" * "), "mit-short,mit-grant,mit-notice", "MIT"),
+    (hard(*MIT, mark="// ", end="\r\n"), "mit-short,mit-grant,mit-notice", "MIT"),
+    (hard(*BSD, mark="# "), "bsd-grant,bsd-source,bsd-binary,bsd-name", "BSD-3-Clause"),
+    (hard(S["isc-grant"] + "."), "isc-grant", "ISC"), (hard("Copyright 2020 X", f"{S['gpl-free']}.  {S['gpl-hope']}."), "gpl-free,gpl-hope", "GPL-3.0"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the\n"
+     "License.  You may obtain a copy of the License at\n\n   http://www.apache.org/", "apache-short,apache-use,apache-obtain", "Apache-2.0"),
+    (hard(S["gpl2-free"] + "."), "gpl2-free", "GPL-2.0"), (hard(S["lgpl21-free"] + "."), "lgpl21-free", "LGPL-2.1"),
+    (hard(S["lgpl3-free"] + "."), "lgpl3-free", "LGPL-3.0"), (hard(S["agpl3-free"] + "."), "agpl3-free", "AGPL-3.0"),
+    (hard(S["unlicense-free"] + "."), "unlicense-free", "Unlicense"),
+    ("Released under\n\nthe MIT License", "", ""), ("text that says\nReleased under the MIT License and more", "", ""),
+]
+
+
+def test_hard_wrapped_licences(spark):
+    rows = [(i, t, "s") for i, (t, _, _) in enumerate(WRAPPED)]
+    got = {r.doc_id: (r.sentences, r.licences) for r in licenses.report(docs(spark, rows)).collect()}
+    assert got == {i: (s, x) for i, (_, s, x) in enumerate(WRAPPED)}
+
+
 def test_empty_table_and_plan(spark):
     out = licenses.report(docs(spark, []))
     assert out.collect() == []
