@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and a randomness test battery with false-discovery control.
 
 Pattern spans come from three regular expressions. The battery looks at every
-run of 20 or more key characters outside them. It infers the encoding
+run of 20 or more key characters outside them; of a run that a pattern span cuts,
+each stretch of that length that is left. It infers the encoding
 (hexadecimal, base 32, base 36, base 64), and asks of each run how badly it fits
 characters drawn evenly and independently from that alphabet:
 
@@ -196,7 +197,9 @@ def clearing_steps(docs: DataFrame, column: str = "text", fdr: float = FDR) -> d
     most ``fdr`` times the share of runs at or below it. Counts are over all
     rows; what comes to the driver is one row per length class.
     """
-    found = docs.select(F.explode(runs(F.coalesce(F.col(column).cast("string"), F.lit("")))).alias("r"))
+    texts = docs.select(F.coalesce(F.col(column).cast("string"), F.lit("")).alias("text"))
+    found = texts.select("text", pattern_spans(F.col("text")).alias("base")).select(
+        F.explode(runs(outside(F.col("text"), F.col("base")))).alias("r"))
     counts = found.groupBy("r.size", "r.step").count()
     steps = counts.groupBy("size").agg(
         F.sum("count").alias("m"),
@@ -213,10 +216,28 @@ def clearing_steps(docs: DataFrame, column: str = "text", fdr: float = FDR) -> d
     return {r["size"]: r["first"] for r in steps.select("size", lowest.alias("first")).collect() if r["first"] is not None}
 
 
-def all_spans(text: Column, clearing: dict[int, int]) -> tuple[Column, Column]:
-    """Pattern spans and random spans, as arrays of (start, kind, end)."""
-    base = F.sort_array(F.concat(
+def pattern_spans(text: Column) -> Column:
+    """The spans of the fixed patterns, as a sorted array of (start, kind, end)."""
+    return F.sort_array(F.concat(
         of_kind(assignments(text), "assign"), of_kind(matches(text, ACCESS), "access"), of_kind(matches(text, HEX), "hex")))
+
+
+def outside(text: Column, base: Column) -> Column:
+    """The text with spaces, which no run has, in place of its pattern spans; positions stay."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        more = F.concat(
+            F.substr(text, state.at + 1, F.greatest(s.start - state.at, F.lit(0))),
+            F.repeat(F.lit(" "), F.greatest(s.end - F.greatest(s.start, state.at), F.lit(0))))
+        return F.struct(F.greatest(state.at, s.end).alias("at"), F.concat(state.out, more).alias("out"))
+
+    blanked = F.aggregate(base, start, step, lambda s: F.concat(s.out, F.substr(text, s.at + 1, F.char_length(text))))
+    return F.when(F.size(base) > 0, blanked).otherwise(text)
+
+
+def random_spans(text: Column, clearing: dict[int, int]) -> Column:
+    """The runs of a text that are not cleared, as an array of (start, kind, end)."""
     # A class without an entry clears nothing.
     lowest = F.array(*[F.lit(clearing.get(size, LAST_STEP + 1)) for size in range(LAST_CLASS + 1)])
 
@@ -225,22 +246,16 @@ def all_spans(text: Column, clearing: dict[int, int]) -> tuple[Column, Column]:
 
     extra = F.when(F.rlike(text, F.lit(RUN)), bind(runs(text), random)).otherwise(
         F.array().cast("array<struct<start:int,end:int>>"))
-    return base, of_kind(extra, "random")
-
-
-def apart(extra: Column, base: Column) -> Column:
-    """Random spans that touch no pattern span."""
-    return bind(base, lambda b: F.filter(
-        extra, lambda e: ~F.exists(b, lambda s: (s.start < e.end) & (e.start < s.end))))
+    return of_kind(extra, "random")
 
 
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """``row`` (the document's columns), ``text``, ``base`` and ``spans`` (all spans, sorted)."""
     clearing = clearing_steps(docs, fdr=fdr)
     texts = packed(docs).select("row", F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
-    base, extra = all_spans(F.col("text"), clearing)
-    return texts.select("*", base.alias("base"), extra.alias("extra")).select(
-        "row", "text", "base", F.sort_array(F.concat("base", apart(F.col("extra"), F.col("base")))).alias("spans"))
+    rest = texts.select("*", pattern_spans(F.col("text")).alias("base")).select(
+        "*", outside(F.col("text"), F.col("base")).alias("rest"))
+    return rest.select("row", "text", "base", F.sort_array(F.concat("base", random_spans(F.col("rest"), clearing))).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
