@@ -10,8 +10,9 @@ in their overlap. Where they share none (a word longer than the overlap), the
 word is put together from the edges of the chunks it crosses and encoded then.
 Decoding looks up the bytes of every id and concatenates them.
 
-Only the chunks of long texts are shuffled, as ids; the texts themselves never
-are. A task holds the ids of one text at a time.
+Only the chunks of long texts are shuffled; short texts never are. A long text that
+several rows share with their id is cut, encoded and stitched once, and its row
+repeated as often as it was counted. A task holds the ids of one text at a time.
 
 Defined results: a null or empty text has no ids and decodes to no bytes;
 repeated rows (and several null ids) give a row each; an empty table gives an
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -169,39 +169,43 @@ def stitch(chunks: list[dict], encode: Callable[[str], tuple]) -> list[tuple]:
 
 
 def stitched(ranks: str, pattern: str, schema: str) -> Callable:
-    """The chunks of one text (as often as the text is there) -> a row for each time."""
+    """The chunks of one text -> its row and digest."""
 
     def join(group: pa.Table) -> pa.Table:
         encoding, spelled = coder(ranks, pattern)
-        times = defaultdict(int)
-        by_place = {}
-        for c in group.to_pylist():
-            times[c["place"]] += 1
-            by_place[c["place"]] = c
-        chunks = [by_place[p] for p in sorted(by_place)]
+        chunks = sorted(group.to_pylist(), key=lambda c: c["place"])
         ids = np.concatenate([np.asarray(x, "<u4") for x in stitch(chunks, lambda t: (encoding.encode_ordinary(t),))]).tolist()
         encoded = [(ids, ",".join(map(str, ids)), len(ids), b"".join([spelled[i] for i in ids]))]
-        rows = [ROWS[schema](chunks[0]["doc_id"], encoded)] * times[0]
-        return pa.Table.from_batches([batch(rows, schema)])
+        row = pa.Table.from_batches([batch([ROWS[schema](chunks[0]["doc_id"], encoded)], schema)])
+        return row.append_column("digest", pa.array([chunks[0]["digest"]], pa.string()))
 
     return join
 
 
+def chunks_of(long: DataFrame) -> DataFrame:
+    """The chunks (doc_id, digest, place, text) of (doc_id, digest, text), those of repeated rows once."""
+    places = F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / CHUNK).cast("int"))
+    return (
+        long.select("*", F.explode(places).alias("place"))
+        .select("doc_id", "digest", "place", F.substr("text", F.col("place") * CHUNK + 1, F.lit(CHUNK + OVERLAP)).alias("text"))
+        .dropDuplicates(["doc_id", "digest", "place"])
+    )
+
+
 def apply(docs: DataFrame, ranks: str, pattern: str, schema: str) -> DataFrame:
     """Encode (doc_id, text) of all documents; ``schema`` says what is returned of the ids."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = F.char_length("text")
     short = texts.where(size <= CHUNK).mapInArrow(whole(ranks, pattern, schema), schema)
-    places = F.sequence(F.lit(0), F.floor((size - 1) / CHUNK).cast("int"))
-    parts = (
-        texts.where(size > CHUNK)
-        .select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text", F.explode(places).alias("place"))
-        .select("doc_id", "digest", "place", F.substr("text", F.col("place") * CHUNK + 1, F.lit(CHUNK + OVERLAP)).alias("text"))
-    )
+    long = texts.where(size > CHUNK).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
     # Chunks of one long text go to different tasks before the costly part.
-    parts = parts.repartition(F.col("doc_id"), F.col("digest"), F.col("place"))
+    parts = chunks_of(long).repartition(F.col("doc_id"), F.col("digest"), F.col("place"))
     encoded = parts.mapInArrow(chunked(ranks, pattern), CHUNKS)
-    return short.unionByName(encoded.groupBy("doc_id", "digest").applyInArrow(stitched(ranks, pattern, schema), schema))
+    rows = encoded.groupBy("doc_id", "digest").applyInArrow(stitched(ranks, pattern, schema), f"{schema}, digest string")
+    counted = long.groupBy(F.col("doc_id").alias("id"), F.col("digest").alias("of")).agg(F.count("*").alias("times"))
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("time")
+    repeated = rows.join(counted, rows["doc_id"].eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")))
+    return short.unionByName(repeated.select(*short.columns, again).drop("time"))
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -35,6 +35,16 @@ def test_digests_are_those_of_the_library(spark):
     assert sorted(map(tuple, got), key=repr) == sorted([want(d, t) for d, t, _ in rows], key=repr)
 
 
+def test_repeated_long_texts_are_encoded_once(spark):
+    long = long_text(2, 40000)
+    rows = [(None, long, "s")] * 12 + [(1, long, "s")] * 3 + [(2, long, "s"), (None, long + "!", "s")]
+    df = docs(spark, rows)
+    got = bpe.digests(df, RANKS, PATTERN).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([want(d, t) for d, t, _ in rows], key=repr)
+    places = -(-len(long) // bpe.CHUNK)
+    assert bpe.chunks_of(df.selectExpr("doc_id", "sha2(text, 256) as digest", "text")).count() == 4 * places
+
+
 @pytest.mark.parametrize("chunk, overlap", [(7, 3), (16, 5), (64, 1), (50, 40)])
 def test_stitching_any_chunks(chunk, overlap, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK", chunk)
