@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters
+from . import bpe, embeddings, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters, vector_codes
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -181,3 +181,38 @@ FROM (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id) LEFT JOIN (SELECT a, co
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component."""
     return embeddings.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def _codes_sql() -> str:
+    """Every part measured against every entry, ``ROUNDS`` times and once more."""
+    parts = ["""
+v AS (SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, label, part, e[part * len(e) // 16 + 1:(part + 1) * len(e) // 16] AS x
+      FROM v, (SELECT unnest(range(0, 16)) AS part)),
+c0 AS (SELECT part, entry, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v) USING (vec_id)
+       WHERE entry < 64)"""]
+    for i in range(vector_codes.ROUNDS + 1):
+        parts.append(f"""
+a{i} AS (SELECT vec_id, part, any_value(label) AS label, any_value(p.x) AS x,
+                min(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + entry) AS d
+         FROM p JOIN c{i} c USING (part) GROUP BY vec_id, part)""")
+        if i < vector_codes.ROUNDS:
+            parts.append(f"""
+m{i} AS (SELECT part, entry, list(y ORDER BY place) AS x
+         FROM (SELECT part, entry, place, floor(sum(y) / count(*))::BIGINT AS y
+               FROM (SELECT part, d % 64 AS entry, unnest(x) AS y, generate_subscripts(x, 1) AS place FROM a{i})
+               GROUP BY part, entry, place) GROUP BY part, entry),
+c{i + 1} AS (SELECT part, entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m USING (part, entry))""")
+    n = vector_codes.ROUNDS
+    return "WITH " + ",".join(parts) + f""",
+r AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', d % 64), '' ORDER BY part) AS code,
+             sum(d // 64)::BIGINT AS error FROM a{n} GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{n})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM r, h"""
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and error under codebooks of its table."""
+    return vector_codes.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
