@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, licenses, mixing, orc_tokens, quality, secrets, simhash, substrings, url_filters, vector_codes
+from . import bpe, embeddings, licenses, mixing, negatives, orc_tokens, quality, secrets, simhash, substrings, url_filters, vector_codes
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -216,3 +216,22 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's code and error under codebooks of its table."""
     return vector_codes.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query("""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return negatives.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))

@@ -57,10 +57,10 @@ def finite(vector: Column) -> Column:
         F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False))
 
 
-def scaled(vector: Column) -> Column:
-    """Components as integers, floors going down."""
+def scaled(vector: Column, largest: int = LARGEST) -> Column:
+    """Components as integers, floors going down, none beyond ``largest``."""
     return F.transform(vector, lambda x: F.floor(
-        F.greatest(F.least(x * SCALE, F.lit(float(LARGEST))), F.lit(float(-LARGEST)))).cast("int"))
+        F.greatest(F.least(x * SCALE, F.lit(float(largest))), F.lit(float(-largest)))).cast("int"))
 
 
 def cuts(length: int, parts: int) -> list[slice]:
