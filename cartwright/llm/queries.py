@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, licenses, mixing, negatives, orc_tokens, quality, secrets, simhash, substrings, url_filters, vector_codes
+from . import bpe, embeddings, licenses, mixing, negatives, orc_tokens, personal, quality, secrets, simhash, substrings, url_filters, vector_codes
 from .words import table
 
 # Rank file and pattern; vocabulary of the token files.
@@ -235,3 +235,9 @@ QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DE
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor and positive."""
     return negatives.report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    return personal.report(table(spark, sf_dir, "documents", "doc_id", "text"))
