@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .parted import Monthly, values
+
 # How far the window of monthly partitions reaches around today.
 MONTHS_BACK = 12
 MONTHS_AHEAD = 24
@@ -34,25 +36,17 @@ def with_month(rows: DataFrame, moment: str = "order_timestamp") -> DataFrame:
     return rows.withColumn("order_month", F.date_format(moment, "yyyy-MM"))
 
 
-def write_months(rows: DataFrame, path: str, moment: str = "order_timestamp") -> None:
-    """Write partitioned by month, replacing exactly the months present in ``rows``.
-
-    Rebalancing gathers each month into few files and, unlike a plain
-    repartition by month, splits a month that is much larger than the others.
-    """
-    (
-        with_month(rows, moment)
-        .hint("rebalance", "order_month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("order_month")
-        .parquet(path)
-    )
+def write_months(rows: DataFrame, path: str, moment: str = "order_timestamp", indexed: bool = True) -> None:
+    """Write a table by month; ``indexed`` lists the month of every order next to it, for later changes."""
+    Monthly(rows.sparkSession, path).write(with_month(rows, moment), indexed)
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table stored by month; the given schema keeps month names text."""
-    return spark.read.schema(T.StructType([*schema, T.StructField("order_month", T.StringType())])).parquet(path)
+    """A table stored by month, empty if nothing was written; month names are text."""
+    table = Monthly(spark, path)
+    if not table.exists():
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField("order_month", T.StringType())]))
+    return table.read().select(*schema.names, "order_month")
 
 
 def replace_rows(
@@ -61,33 +55,15 @@ def replace_rows(
     """Replace rows of a table stored by month, rewriting only the months involved.
 
     A month is involved if it receives a row or if it now holds a row that is
-    being replaced: a row whose time moved to another month must leave the old
-    one. Finding those reads the key column alone. ``rows`` are read several
-    times, so pass a stored table. Returns the months; only their names reach
-    the driver.
+    being replaced. ``rows`` are read several times, so pass a stored table.
+    Returns the months; only their names reach the driver.
     """
-    if not exists(spark, path):
-        write_months(rows, path, moment)
-        return _months(with_month(rows, moment))
-    table = read_months(spark, path, rows.schema)
-    keys = rows.select(key)
-    incoming = _months(with_month(rows, moment))
-    leaving = _months(table.join(keys, key, "left_semi"))
-    touched = sorted({*incoming, *leaving})
-    kept = table.filter(F.col("order_month").isin(touched)).join(keys, key, "left_anti").select(*table.columns)
-    # The write replaces only months that receive rows. A month that rows left
-    # and none entered may end up empty and then has to be removed.
-    left_only = sorted({*leaving} - {*incoming})
-    remaining = _months(kept.filter(F.col("order_month").isin(left_only))) if left_only else []
-    write_months(kept.drop("order_month").unionByName(rows), path, moment)
-    for month in sorted({*left_only} - {*remaining}):
-        fs, folder = _fs(spark, f"{path}/order_month={month}")
-        fs.delete(folder, True)
-    return touched
-
-
-def _months(df: DataFrame) -> list[str]:
-    return sorted(r.order_month for r in df.select("order_month").distinct().collect())
+    table = Monthly(spark, path, key)
+    placed = with_month(rows, moment)
+    if not table.exists():
+        table.write(placed)
+        return values(placed, "order_month")
+    return table.replace(placed)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -2,13 +2,16 @@
 
 A version counts once its write has committed (the ``_SUCCESS`` file), so a
 reader sees either the old or the new content, a failed write changes nothing,
-and no job overwrites the files it is reading.
+and no job overwrites the files it is reading. Large tables are kept in parts
+(``parted``), of which a batch rewrites those it touches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .parted import Parted
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -38,9 +41,15 @@ class Store:
         return None
 
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return self.parted(table).exists() or self.version(table) is not None
+
+    def parted(self, table: str) -> Parted:
+        """The table as one kept in parts, whether it is or not."""
+        return Parted(self.spark, f"{self.root}/{table}")
 
     def read(self, table: str) -> DataFrame:
+        if self.parted(table).exists():
+            return self.parted(table).read()
         version = self.version(table)
         if version is None:
             raise LookupError(f"no table {table!r} below {self.root}")
@@ -61,6 +70,8 @@ class Store:
         fs, root = self._fs(self.root)
         for status in fs.listStatus(root) if fs.exists(root) else []:
             table = status.getPath().getName()
+            if status.isDirectory():
+                self.parted(table).retain(last)
             committed = [v for v in self._versions(table) if self._committed(table, v)] if status.isDirectory() else []
             for old in self._versions(table) if len(committed) > last else []:
                 if old < committed[-last]:

@@ -8,6 +8,7 @@ from ..catalog import ANALYTICS, ENTITIES, LEDGER
 from ..operators.store import Store
 from ..session import together
 from . import views
+from .tables import ensure
 from .transforms import dim_date
 
 
@@ -20,7 +21,7 @@ def ensure_schema(store: Store, as_of: DataFrame, stored_elsewhere: tuple[str, .
     wanted["processed_files"] = LEDGER
     for name, spec in ENTITIES.items():
         wanted[f"stg_{name}"] = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.staging_schema)
-    made = together([lambda n=name, d=ddl: store.ensure(n, d) for name, ddl in wanted.items()])
+    made = together([lambda n=name, d=ddl: ensure(store, n, d) for name, ddl in wanted.items()])
     created = [name for name, new in zip(wanted, made) if new]
     known = store.read("dim_date")
     days = dim_date(known, as_of)

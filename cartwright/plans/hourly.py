@@ -3,6 +3,8 @@
 Files are loaded entity by entity in parallel, then dimensions, order facts, the
 other facts, checks, and the stored views. Each table is published on its own,
 so a run that stops half-way leaves complete tables and the next run goes on.
+Staging, dimensions and facts are kept in parts, and each step takes what was
+staged since it was last published, so a batch costs the parts it touches.
 """
 
 from __future__ import annotations
@@ -18,12 +20,13 @@ from ..operators import quality
 from ..operators.history import current_rows
 from ..operators.partitions import exists, read_months, replace_rows
 from ..operators.store import Store
-from ..session import together
+from ..session import stored, together
 from ..streaming.loads import EntityLoad
 from . import bootstrap, transforms, views
+from .tables import history, keyed
 
 
-MARKER = "facts_marker"
+MARKER, DIMENSIONS_MARKER = "facts_marker", "dimensions_marker"
 # Versions of each table that stay after a run, the current one included.
 VERSIONS_KEPT = 3
 
@@ -91,48 +94,61 @@ class HourlyRun:
         return present
 
     def dimensions(self, now: Column) -> None:
-        s = self.store
-        steps = {
-            "dim_customers": (transforms.dim_customers, "stg_customers"),
-            "dim_products": (transforms.dim_products, "stg_products"),
-            "dim_inventory": (transforms.dim_inventory, "stg_inventory"),
-        }
-        together(
-            [lambda t=t, fn=fn, src=src: s.publish(t, fn(s.read(t), s.read(src), now)) for t, (fn, src) in steps.items()]
-        )
+        """Merge what was staged since the dimensions were last published, by whichever runs."""
+        s, since = self.store, self.since(DIMENSIONS_MARKER, now)
+
+        def merge(table: str, newest, source: str) -> None:
+            staged = s.read(source) if since is None else s.read(source).filter(F.col("_loaded_at") >= since)
+            history(s, table).merge(stored(newest(staged), "newest"), now)
+
+        together([
+            lambda: merge("dim_customers", transforms.newest_customers, "stg_customers"),
+            lambda: merge("dim_products", transforms.newest_products, "stg_products"),
+            lambda: s.publish("dim_inventory", transforms.dim_inventory(s.read("dim_inventory"), s.read("stg_inventory"), now)),
+        ])
+        s.publish(DIMENSIONS_MARKER, s.spark.range(1).select(now.alias("bound_up_to")))
 
     def facts(self, now: Column) -> int:
         """Bring the facts up to date; returns how many dangling references were cleared."""
         s = self.store
-        dims = {n: s.read(n) for n in ("dim_customers", "dim_products", "dim_date")}
+        # Orders are bound to current rows; the closed ones are not read.
+        dims = {**{n: history(s, n).current() for n in ("dim_customers", "dim_products")}, "dim_date": s.read("dim_date")}
         orders = s.read("stg_orders")
-        stale = orders_to_bind(orders, dims["dim_customers"], dims["dim_products"], self.bound_up_to(now))
-        rows = s.publish("fact_orders_batch", transforms.order_rows(stale, dims["dim_customers"], dims["dim_products"]))
-        found = {
-            "fact_orders": rows,
-            "fact_payments": transforms.fact_payments(s.read("fact_payments"), s.read("stg_payments")),
-            "fact_returns": transforms.fact_returns(s.read("fact_returns"), s.read("stg_returns")),
-        }
-        cleared = quality.orphan_total({**found, **dims}).first()[0]
+        since = self.since(MARKER, now)
+        stale = orders_to_bind(orders, dims["dim_customers"], dims["dim_products"], since)
+        # What was staged since the last run that published its facts; other rows are as they were.
+        batch = {name: s.read(f"stg_{name}") for name in ("payments", "returns")}
+        if since is not None:
+            batch = {name: rows.filter(F.col("_loaded_at") >= since) for name, rows in batch.items()}
+        found = dict(zip(("fact_orders", "fact_payments", "fact_returns"), together([
+            lambda: s.publish("fact_orders_batch", transforms.order_rows(stale, dims["dim_customers"], dims["dim_products"])),
+            lambda: s.publish("fact_payments_batch", transforms.payment_rows(batch["payments"])),
+            lambda: s.publish("fact_returns_batch", transforms.return_rows(batch["returns"])),
+        ])))
+        # A known payment or return keeps its date, so only new ones can be cleared.
+        new = {t: keyed(s, t).unknown(found[t]) for t in ("fact_payments", "fact_returns")}
+        cleared = quality.orphan_total({"fact_orders": found["fact_orders"], **new, **dims}).first()[0]
         sound = quality.clear_all_orphans({**found, **dims})
 
         def replace_orders() -> None:
-            clean = s.publish("fact_orders_batch", sound["fact_orders"])
-            replace_rows(s.spark, self.facts_path, clean)
+            replace_rows(s.spark, self.facts_path, s.publish("fact_orders_batch", sound["fact_orders"]))
+
+        def upsert(table: str, updated: tuple[str, ...]) -> None:
+            keyed(s, table).upsert(s.publish(f"{table}_batch", sound[table]), updated)
 
         together([
             replace_orders,
-            lambda: s.publish("fact_payments", sound["fact_payments"]),
-            lambda: s.publish("fact_returns", sound["fact_returns"]),
+            lambda: upsert("fact_payments", transforms.PAYMENT_UPDATED),
+            lambda: upsert("fact_returns", transforms.RETURN_UPDATED),
             lambda: s.publish("agg_revenue", transforms.agg_revenue(s.read("agg_revenue"), s.read("stg_revenue"), orders, now)),
         ])
         # Last: a run that stops before this leaves its orders to the next one.
         s.publish(MARKER, s.spark.range(1).select(now.alias("bound_up_to")))
         return cleared
 
-    def bound_up_to(self, now: Column) -> Column | None:
-        """When the last run began whose facts are published; never later than this one."""
-        if not self.store.exists(MARKER):
+    def since(self, marker: str, now: Column) -> Column | None:
+        """When the last run began that published this marker; never later than this one."""
+        if not self.store.exists(marker):
             return None
-        found = self.store.read(MARKER).select(F.least("bound_up_to", now).alias("at")).first()["at"]
+        found = self.store.read(marker).select(F.least("bound_up_to", now).alias("at")).first()["at"]
         return F.lit(found)

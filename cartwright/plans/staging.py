@@ -11,6 +11,8 @@ from ..catalog import ENTITIES, spec_for
 from ..operators import validate as V
 from ..operators.clean import clean
 from ..operators.merge import latest_per_key, upsert
+from ..operators.store import Store
+from .tables import keyed
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,12 @@ def load(entity: str, target: DataFrame, source: DataFrame) -> DataFrame:
     return upsert(target, source, [spec.key], [*spec.updated, "_loaded_at", "_source_file"])
 
 
+def load_into(store: Store, entity: str, source: DataFrame, stream: str | None = None, batch: int | None = None) -> bool:
+    """The same on the stored table, of which only the buckets that the rows fall into are read and written."""
+    updated = [*ENTITIES[entity].updated, "_loaded_at", "_source_file"]
+    return keyed(store, f"stg_{entity}").upsert(source, updated, stream, batch)
+
+
 def ledger_rows(batch: Batch, at: Column) -> DataFrame:
     """One row per file of a batch, for the ledger of processed files."""
     per_file = V.summary(batch.annotated)

@@ -18,16 +18,22 @@ CUSTOMER_TRACKED = ("country", "acquisition_channel", "customer_segment")
 PRODUCT_TRACKED = ("cost_price", "selling_price", "category")
 
 
-def dim_customers(dim: DataFrame, staging: DataFrame, at: Column) -> DataFrame:
+def newest_customers(staging: DataFrame) -> DataFrame:
     rows = staging.select("customer_id", "signup_date", *CUSTOMER_TRACKED, "_loaded_at")
-    newest = latest_per_key(rows, ["customer_id"], ["_loaded_at"]).drop("_loaded_at")
-    return merge_history(dim, newest, "customer_id", "customer_sk", CUSTOMER_TRACKED, at)
+    return latest_per_key(rows, ["customer_id"], ["_loaded_at"]).drop("_loaded_at")
 
 
-def dim_products(dim: DataFrame, staging: DataFrame, at: Column) -> DataFrame:
+def newest_products(staging: DataFrame) -> DataFrame:
     rows = staging.select("product_id", "product_name", "category", "cost_price", "selling_price", "_loaded_at")
-    newest = latest_per_key(rows, ["product_id"], ["_loaded_at"]).drop("_loaded_at")
-    return merge_history(dim, newest, "product_id", "product_sk", PRODUCT_TRACKED, at)
+    return latest_per_key(rows, ["product_id"], ["_loaded_at"]).drop("_loaded_at")
+
+
+def dim_customers(dim: DataFrame, staging: DataFrame, at: Column) -> DataFrame:
+    return merge_history(dim, newest_customers(staging), "customer_id", "customer_sk", CUSTOMER_TRACKED, at)
+
+
+def dim_products(dim: DataFrame, staging: DataFrame, at: Column) -> DataFrame:
+    return merge_history(dim, newest_products(staging), "product_id", "product_sk", PRODUCT_TRACKED, at)
 
 
 def dim_inventory(dim: DataFrame, staging: DataFrame, at: Column) -> DataFrame:
@@ -106,8 +112,11 @@ def payment_rows(staging: DataFrame) -> DataFrame:
     )
 
 
+PAYMENT_UPDATED, RETURN_UPDATED = ("payment_status", "amount"), ("return_status", "refund_amount")
+
+
 def fact_payments(fact: DataFrame, staging: DataFrame) -> DataFrame:
-    return upsert(fact, payment_rows(staging), ["payment_id"], ["payment_status", "amount"])
+    return upsert(fact, payment_rows(staging), ["payment_id"], PAYMENT_UPDATED)
 
 
 def return_rows(staging: DataFrame) -> DataFrame:
@@ -118,7 +127,7 @@ def return_rows(staging: DataFrame) -> DataFrame:
 
 
 def fact_returns(fact: DataFrame, staging: DataFrame) -> DataFrame:
-    return upsert(fact, return_rows(staging), ["return_id"], ["return_status", "refund_amount"])
+    return upsert(fact, return_rows(staging), ["return_id"], RETURN_UPDATED)
 
 
 def recently_loaded(staging: DataFrame, at: Column, window: str = "2 hours") -> DataFrame:

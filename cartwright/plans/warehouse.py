@@ -60,7 +60,7 @@ class Warehouse(Mapping[str, DataFrame]):
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
         if name.startswith("fact_orders"):
-            write_months(df, path)
+            write_months(df, path, indexed=False)
             return read_months(self.spark, path, df.schema)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -141,7 +141,7 @@ def boot(w: Warehouse):
     created = bootstrap.ensure_schema(store, w.as_of())
     if bootstrap.ensure_schema(store, w.as_of()):
         raise AssertionError("a second bootstrap created tables")
-    together([lambda e=e: store.publish(f"stg_{e}", staging.load(e, store.read(f"stg_{e}"), w[f"stg_{e}"])) for e in ENTITIES])
+    together([lambda e=e: staging.load_into(store, e, w[f"stg_{e}"]) for e in ENTITIES])
     parts = [
         store.read(t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
         for t in created
