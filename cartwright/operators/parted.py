@@ -26,7 +26,9 @@ from ..session import stored, together
 from .history import differs
 from .merge import upsert
 
-BUCKETS, BUCKET = 64, "_bucket"
+BUCKET = "_bucket"
+# Buckets of tables created from now on; set it so that a bucket of the largest table is a few gigabytes.
+BUCKETS_CONF, BUCKETS = "spark.cartwright.buckets", 16
 # The layouts whose rows make up the table, and what a stream applied last: (its id, batch).
 Changes = dict[str, tuple[Iterable[str], DataFrame]]
 
@@ -161,6 +163,10 @@ def values(df: DataFrame, column: str) -> list[str]:
     return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
+def buckets_of(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_CONF, str(BUCKETS)))
+
+
 def with_bucket(rows: DataFrame, key: str | Sequence[str], buckets: int) -> DataFrame:
     keys = [key] if isinstance(key, str) else key
     return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"))
@@ -176,14 +182,16 @@ class Keyed(Parted):
         super().__init__(spark, path)
         self.key = list(key)
 
-    def ensure(self, schema: T.StructType, buckets: int = BUCKETS) -> bool:
+    def ensure(self, schema: T.StructType, buckets: int | None = None) -> bool:
         if self.exists():
             return False
+        buckets = buckets or buckets_of(self.spark)
         self.create({"rows": (BUCKET, schema)}, ["rows"], buckets=buckets)
         return True
 
-    def adopt(self, rows: DataFrame, buckets: int = BUCKETS) -> None:
+    def adopt(self, rows: DataFrame, buckets: int | None = None) -> None:
         """Take over a table that was kept otherwise."""
+        buckets = buckets or buckets_of(self.spark)
         self.ensure(rows.schema, buckets)
         self.commit({"rows": ([], with_bucket(rows, self.key, buckets))})
 
@@ -223,8 +231,9 @@ class Monthly(Parted):
         super().__init__(spark, path)
         self.key, self.by = key, by
 
-    def write(self, rows: DataFrame, indexed: bool = True, buckets: int = BUCKETS) -> None:
+    def write(self, rows: DataFrame, indexed: bool = True, buckets: int | None = None) -> None:
         """The first content; ``rows`` have the month."""
+        buckets = buckets or buckets_of(self.spark)
         schema = T.StructType([f for f in rows.schema if f.name != self.by])
         months = T.StructType([rows.schema[self.key], T.StructField(self.by, T.StringType())])
         self.create({"rows": (self.by, schema), "months": (BUCKET, months)}, ["rows"], buckets=buckets, indexed=indexed)
@@ -270,9 +279,10 @@ class History(Parted):
         super().__init__(spark, path)
         self.key, self.surrogate, self.tracked = key, surrogate, tuple(tracked)
 
-    def ensure(self, schema: T.StructType, buckets: int = BUCKETS) -> bool:
+    def ensure(self, schema: T.StructType, buckets: int | None = None) -> bool:
         if self.exists():
             return False
+        buckets = buckets or buckets_of(self.spark)
         only_key = T.StructType([schema[self.key]])
         self.create({"current": (BUCKET, schema), "closed": ("_added", schema), "retired": (BUCKET, only_key)},
                     ["current", "closed"], buckets=buckets, last=0, added=0)
@@ -281,8 +291,9 @@ class History(Parted):
     def current(self) -> DataFrame:
         return self.layout("current").drop(BUCKET)
 
-    def adopt(self, dim: DataFrame, buckets: int = BUCKETS) -> None:
+    def adopt(self, dim: DataFrame, buckets: int | None = None) -> None:
         """Take over a dimension that was kept as one table."""
+        buckets = buckets or buckets_of(self.spark)
         self.ensure(dim.schema, buckets)
         current, closed = dim.filter("is_current"), dim.filter("NOT is_current")
         retired = closed.select(self.key).distinct().join(current.select(self.key), self.key, "left_anti")
