@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from ..catalog import EntitySpec, spec_for
 from ..functions.text import UUID_PATTERN, strip
+from ..session import stored
 from .clean import MONEY_OF, cleaned
 from .skew import hot_only, key_counts, mark_hot, scattered
 
 REASONS = "_reasons"
 FILE_SCOPE = ("_source_file",)
+# Repeated keys that may be broadcast: about 20 MB.
+FEW = 200_000
 
 
 def fails_not_null(c: Column) -> Column:
@@ -38,18 +41,25 @@ def fails_in_set(c: Column, allowed: Iterable[str]) -> Column:
 def flag_repeated(df: DataFrame, key: str, flag: str, scope: Iterable[str] = FILE_SCOPE) -> DataFrame:
     """Set ``flag`` on **every** row whose key is repeated inside its scope.
 
-    A join against the repeated keys rather than a window over the rows, which
-    would bring all copies of one value into a single task. Hot keys are looked
-    up in a broadcast of bounded size; their rows, and those without a key, are
-    then scattered over the tasks of the join that serves all other keys.
+    The input is read twice: its keys, counted and reduced to the repeated ones,
+    which are written down, then its rows, which look these up. Up to ``FEW``
+    repeated keys are broadcast, and no row moves. Of more, the hot ones are
+    looked up in a broadcast of bounded size; their rows, and those without a
+    key, are then scattered over the tasks of the join that serves all other
+    keys. A window over the rows would bring all copies of one value into a
+    single task.
     """
     scope = list(scope)
     counts = key_counts(df.filter(F.col(key).isNotNull()), [*scope, key])
-    hot = hot_only(counts).filter("_n > 1")
-    marked = mark_hot(df, hot, [*scope, key])
+    repeats = stored(counts.filter("_n > 1"), "repeated-keys")
+    if repeats.count() <= FEW:
+        again = F.broadcast(repeats.select(*scope, key, F.lit(True).alias("_again")))
+        joined = df.join(again, [*scope, key], "left")
+        return joined.select(*[F.col(c) for c in df.columns], F.coalesce("_again", F.lit(False)).alias(flag))
+    marked = mark_hot(df, hot_only(repeats), [*scope, key])
     apart = F.col("_hot") | F.col(key).isNull()
-    repeats = counts.filter("_n > 1").select(*scope, F.col(key).alias("_match"), F.lit(True).alias("_again"))
-    joined = marked.withColumn("_match", scattered(F.col(key), apart)).join(repeats, [*scope, "_match"], "left")
+    again = repeats.select(*scope, F.col(key).alias("_match"), F.lit(True).alias("_again"))
+    joined = marked.withColumn("_match", scattered(F.col(key), apart)).join(again, [*scope, "_match"], "left")
     found = F.col("_hot") | F.coalesce("_again", F.lit(False))
     return joined.select(*[F.col(c) for c in df.columns], found.alias(flag))
 

@@ -89,6 +89,22 @@ def test_cold_repeats_are_flagged(large):
     assert V.flag_repeated(df, "key", "failed").filter("failed").count() == 10_000
 
 
+def test_uniqueness_reads_its_rows_once_and_moves_none_where_few_keys_repeat(copies):
+    flagged = V.flag_repeated(copies, "key", "failed")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "hashpartitioning(key" not in plan
+    assert "HashAggregate" not in plan
+
+
+def test_many_repeated_keys_are_not_broadcast(copies, monkeypatch):
+    monkeypatch.setattr(V, "FEW", 0)
+    more = copies.unionByName(copies.filter("key < '1'"))
+    rows, plan = run(V.flag_repeated(more, "key", "failed"))
+    again = copies.filter("key < '1'").count()
+    assert again > 1000 and sum(r.failed for r in rows) == ROWS // 3 + 2 * again
+    assert all(r.failed == (r.key == "hot" or r.key < "1") for r in rows) and "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
 def test_hot_keys_are_fewer_than_the_parts(large):
     even = large.range(PARTS * 3).select((F.col("id") % (PARTS - 1)).alias("key"))
     assert 0 < hot_only(key_counts(even, ["key"])).count() < PARTS
