@@ -139,12 +139,11 @@ def cuts(ranked: DataFrame) -> DataFrame:
 
 
 def plan_mix(
-    sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, whole: bool = True
+    sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED
 ) -> tuple[DataFrame, DataFrame | None]:
     """One line per source (its target, whole copies, the last rank drawn, the units that fill the gap), and :func:`further`.
 
-    ``sized`` has (unit, source, size) and is read several times. Without ``whole`` the draw ends
-    with the fills, whatever gap they leave, as the SQL of the query has it.
+    ``sized`` has (unit, source, size) and is read several times.
     """
     plan = stored(targets(sized, weights, share, cap), "mix-targets")
     units = sized.groupBy("source", "unit").agg(F.sum("size").alias("size")).select(
@@ -159,8 +158,8 @@ def plan_mix(
         *plan.columns, "bar", "closed", (F.col("rest") - F.coalesce("taken", "rest")).alias("gap"), none.alias("fills"))
     state = stored(state, "mix-plan")
     for _ in range(FILLS):
-        state = stored(fill(state, ranked, whole), "mix-plan")
-    return state, further(state, ranked) if whole else None
+        state = stored(fill(state, ranked), "mix-plan")
+    return state, further(state, ranked)
 
 
 def further(state: DataFrame, ranked: DataFrame) -> DataFrame | None:
@@ -186,10 +185,10 @@ def further(state: DataFrame, ranked: DataFrame) -> DataFrame | None:
     return out
 
 
-def fill(state: DataFrame, ranked: DataFrame, whole: bool = True) -> DataFrame:
+def fill(state: DataFrame, ranked: DataFrame) -> DataFrame:
     """Per source, add the undrawn document whose size comes closest to the gap, if it narrows it.
 
-    With ``whole``, one that exceeds the gap by more than ``OVER`` of the target is left out where smaller ones come as close.
+    One that exceeds the gap by more than ``OVER`` of the target is left out where smaller ones come as close.
     """
     gap, size = F.col("s.gap"), F.col("size")
     off = F.abs(size - gap)
@@ -200,7 +199,7 @@ def fill(state: DataFrame, ranked: DataFrame, whole: bool = True) -> DataFrame:
     ).groupBy("s.source").agg(
         F.min(one).alias("best"), F.min(F.when(small, one)).alias("small"), F.first("s.gap").alias("gap"),
         F.coalesce(F.sum(F.when(size <= gap, size)), F.lit(0)).alias("fitting"))
-    best = best.select("source", F.when(F.lit(whole) & (F.col("fitting") >= F.col("gap") - F.col("best.off")), F.col("small"))
+    best = best.select("source", F.when(F.col("fitting") >= F.col("gap") - F.col("best.off"), F.col("small"))
                        .otherwise(F.col("best")).alias("best")).where("best is not null")
     best = best.select(F.col("source").alias("fill_source"), "best")
     found = F.col("best").isNotNull()

@@ -1,6 +1,10 @@
+import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from cartwright.llm import mixing
 from .helpers import AWKWARD, WORD, docs
 
@@ -77,6 +81,80 @@ def test_inclusion_follows_the_odds(spark):
     assert all(12 <= hits[i] <= 24 for i in range(20, 60)) and len({hits[i] for i in range(20, 60)}) > 2
 
 
+def plain(rows, seed, share=1.5, cap=2):
+    """What the mix takes of every row, by going through each source in rank order."""
+    named = []
+    for i, t, s in rows:
+        own = str(i) if i is not None else hashlib.md5((t or "").encode()).hexdigest()
+        named.append((s, (i is not None, own), len(WORD.findall(t or ""))))
+    total, units = defaultdict(int), defaultdict(int)
+    for s, u, n in named:
+        total[s] += n
+        units[s, u] += n
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    want = water(total, {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}, share, cap) if sum(total.values()) else dict.fromkeys(total, 0)
+    copies, drawn = {}, set()
+    for s in total:
+        copies[s] = math.floor(want[s] / total[s] + 1e-12) if total[s] else 0
+        rest = want[s] - copies[s] * total[s]
+        if rest <= 1e-9:
+            continue
+        ranked = []
+        for (own, u), n in units.items():
+            if own == s:
+                x = (int(hashlib.md5(f"{seed}:{u[1]}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                ranked.append((x / (1 - x), u, n))
+        ranked.sort()
+        gap = rest
+        for _, u, n in ranked:
+            if n > gap:
+                break
+            drawn.add((s, u))
+            gap -= n
+        for _ in range(3):
+            left = [(abs(n - gap), x, u, n) for x, u, n in ranked if (s, u) not in drawn and abs(n - gap) < gap]
+            if gap <= 0 or not left:
+                break
+            best = min(left)
+            if sum(n for _, _, _, n in left if n <= gap) >= gap - best[0]:
+                left = [c for c in left if c[3] <= gap or c[0] <= 0.01 * want[s]]
+                if not left:
+                    break
+                best = min(left)
+            drawn.add((s, best[2]))
+            gap -= best[3]
+        for _, u, n in ranked:
+            if (s, u) not in drawn and 1 <= n <= gap:
+                drawn.add((s, u))
+                gap -= n
+    return Counter((i, s, n, n * (copies[s] + ((s, u) in drawn))) for (i, _, s), (_, u, n) in zip(rows, named))
+
+
+@pytest.mark.parametrize("seed", ["mix-1", "t2", "t5", "t9"])
+def test_every_row_is_taken_as_in_rank_order(spark, seed):
+    """Large units, rows without an id, ids that repeat, and a source of few documents."""
+    rng = random.Random(seed)
+    rows = corpus(300, 5) + [(900, "w " * 9000, "s1"), (901, "w " * 20000, "s2")] + AWKWARD[:5]
+    rows += [(None, f"n{i % 60} " * rng.randrange(5, 90), "s3") for i in range(90)] + [(i, "again " * 7, "s1") for i in range(5)]
+    rows += [(2000 + i, "few " * (50 + 400 * i), "z") for i in range(4)]
+    by_row = Counter((r.doc_id, r.source_size, r.size, r.taken) for r in mixing.report(docs(spark, rows), seed=seed).collect())
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(WORD.findall(t or ""))
+    assert by_row == Counter({(i, sizes[s], n, k): c for (i, s, n, k), c in plain(rows, seed).items()})
+
+
+@pytest.mark.parametrize("seed", ["t1", "t3", "t4"])
+def test_a_third_of_the_words_in_one_document(spark, seed):
+    rows = [(i, "w " * 100, "x") for i in range(300)] + [(900, "w " * 15000, "x")]
+    rows += [(1000 + i, "w " * 50, "y") for i in range(900)] + [(2000 + i, "w " * 5000, "z") for i in range(6)]
+    got = mixing.report(docs(spark, rows), seed=seed, share=1.1, cap=1.4).collect()
+    want = {(i, n, k) for i, _, n, k in plain(rows, seed, 1.1, 1.4)}
+    assert {(r.doc_id, r.size, r.taken) for r in got} == want
+    taken = sum(r.taken for r in got if r.doc_id in range(901))
+    assert abs(taken - next(r.target for r in got if r.doc_id == 900)) <= 100
+
+
 def test_a_large_unit_does_not_cost_the_target(spark):
     """Behind a document, or rows without an id, that do not fit, the draw goes on."""
     rows = [(i, "w " * 100, "x") for i in range(300)] + [(900, "w " * 15000, "x")]
