@@ -16,16 +16,18 @@ adaptive execution splits.
 Defined results: a text without words has fingerprint zero and links like any
 other; a null text is an empty one; repeated rows have the same fingerprint and
 component; a null doc_id is never the smallest of a component unless it has no
-other; an empty table gives an empty result; :func:`deduplicate` passes other
-columns through, whatever their names.
+other; an empty table gives an empty result; :func:`deduplicate` and
+:func:`deduplicate_similar` pass other columns through, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -131,16 +133,167 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; of repeated rows one."""
+    """One document of each component of :func:`report`, the one with the smallest doc_id; of repeated rows one."""
     prints, roots = classes(docs)
+    return kept(docs, prints.withColumnRenamed("fp", "node"), roots.withColumnRenamed("fp", "node"))
+
+
+def kept(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """The document with the smallest doc_id of each root; ``prints`` has (doc_id, digest, node), ``roots`` (node, root)."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest")
     best = (
-        prints.groupBy("fp").agg(F.min(key).alias("key")).join(roots, "fp")
+        prints.groupBy("node").agg(F.min(key).alias("key")).join(roots, "node")
         .groupBy("root").agg(F.min("key").alias("key"))
     )
-    best = stored(best.select("key.id", "key.digest"), "simhash-kept")
+    return documents(docs, stored(best.select("key.id", "key.digest"), "simhash-kept")).select("row.*")
+
+
+def documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row of each wanted (id, digest), as ``row`` with its id and digest."""
     rows = packed(docs).select(
         "row", F.col("row.doc_id").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("text_digest"))
-    kept = rows.join(best, rows["doc_id"].eqNullSafe(best["id"]) & (F.col("text_digest") == F.col("digest")))
-    return kept.select("row", "id", "digest").dropDuplicates(["id", "digest"]).select("row.*")
+    found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (F.col("text_digest") == F.col("digest")))
+    return found.select("row", "id", "digest").dropDuplicates(["id", "digest"])
+
+
+# --- five words and a similarity of 0.8 -----------------------------------------------------------
+#
+# Sets of five-word shingles that overlap by 0.8 differ in about 15 % of a fingerprint's bits, too many
+# for anchors on halves of 64 bits. Fingerprints are 256 bits wide here, and anchors are the values of
+# many drawn blocks of bits: the code of all words, whose covering radius is zero, with threshold zero,
+# so that a block is a fingerprint's one anchor there. The width of a block follows the number of
+# documents, so that strangers seldom meet, and the number of blocks follows the width, so that similar
+# ones nearly always do. At an anchor every fingerprint meets one representative; representatives
+# differ from block to block. Candidates are decided by the exact overlap of whole shingle sets.
+
+WORDS, SIMILAR = 5, 0.8
+BITS, DIFFERING = 256, 72
+# Share of bits that a pair at the threshold differs in; blocks expected to agree in such a pair.
+SHARE, AGREEING = 0.155, 3.5
+BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+# Odd numbers that make four hashes of one.
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+
+
+def blocks(count: int) -> np.ndarray:
+    """The bits of each block, a row per block, for a number of documents."""
+    width = min(40, max(14, int(count).bit_length() + 3))
+    number = int(np.ceil(AGREEING / (1 - SHARE) ** width))
+    rng = np.random.default_rng(SEED)
+    return np.array([rng.permutation(BITS)[:width] for _ in range(number)])
+
+
+def shingle_set(words: list[bytes]) -> np.ndarray:
+    """The different hashes of a text's five-word shingles; of a shorter text that of all its words, of none nothing."""
+    from xxhash import xxh64_intdigest
+
+    if not words:
+        return np.zeros(0, np.uint64)
+    shingles = [b" ".join(words)] if len(words) < WORDS else map(b" ".join, zip(*[words[i:] for i in range(WORDS)]))
+    return np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+
+
+def wide_bits(hashes: np.ndarray) -> np.ndarray:
+    """The 256 majority bits of a set of hashes."""
+    ones = np.zeros(BITS, np.int64)
+    for i, m in enumerate(MIX):
+        mixed = hashes * m
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= MIX[0]
+        mixed ^= mixed >> np.uint64(32)
+        for j, column in enumerate(mixed.view(np.uint8).reshape(-1, 8).T):
+            at = 64 * i + 8 * j
+            ones[at:at + 8] = np.bincount(column, minlength=256) @ BYTE_BITS
+    return 2 * ones > len(hashes)
+
+
+def lowered(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
+
+
+WIDE = "doc_id bigint, digest bigint, node binary, fp array<bigint>, anchors array<bigint>"
+
+
+def wide_prints(drawn: np.ndarray) -> Callable:
+    """(doc_id, digest, text) -> the words' digest, the wide fingerprint, and its anchors."""
+    powers = 1 << np.arange(drawn.shape[1], dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes, prints, anchors = [], [], []
+            for text in b.column("text").to_pylist():
+                words = lowered(text)
+                bits = wide_bits(shingle_set(words))
+                nodes.append(md5(b" ".join(words)).digest())
+                prints.append(np.packbits(bits, bitorder="little").view(np.int64))
+                anchors.append(bits[drawn] @ powers)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("digest"), pa.array(nodes, pa.binary()),
+                 pa.array(prints, pa.list_(pa.int64())), pa.array(anchors, pa.list_(pa.int64()))],
+                names=["doc_id", "digest", "node", "fp", "anchors"])
+
+    return run
+
+
+def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> the words' digest and the set of shingles."""
+    for b in batches:
+        words = [lowered(text) for text in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([md5(b" ".join(w)).digest() for w in words], pa.binary()),
+             pa.array([shingle_set(w).view(np.int64) for w in words], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(node, rep, off): the pairs that meet at an anchor and differ in at most ``DIFFERING`` bits."""
+    held = nodes.select("node", F.posexplode("anchors").alias("block", "anchor"))
+    first = F.min(F.struct(F.xxhash64("block", "node").alias("order"), "node"))
+    reps = held.groupBy("block", "anchor").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select(
+        "block", "anchor", F.col("first.node").alias("rep"))
+    met = held.join(stored(reps, "simhash-reps"), ["block", "anchor"]).where("node <> rep").select("node", "rep").distinct()
+    met = stored(met, "simhash-met")
+    own, there = nodes.select("node", F.col("fp").alias("a")), nodes.select(F.col("node").alias("rep"), F.col("fp").alias("b"))
+    off = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return met.join(own, "node").join(there, "rep").select("node", "rep", off.alias("off")).where(F.col("off") <= DIFFERING)
+
+
+def overlapping(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets overlap by ``SIMILAR`` or more."""
+    there = sets.select(F.col("node").alias("rep"), F.col("shingles").alias("other"))
+    both = F.size(F.array_intersect("shingles", "other"))
+    return pairs.join(sets, "node").join(there, "rep").where(
+        both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select("node", "rep")
+
+
+def deduplicate_similar(docs: DataFrame) -> DataFrame:
+    """One document of each group of similar ones (five words, 0.8), the one with the smallest doc_id.
+
+    Groups are the components of the pairs found. Of what a document meets, the closest is decided first;
+    then only pairs that would still unite two groups, so a large group costs its size, not its pairs.
+    Texts of the same words are one; those without words are alike; other results are as the module says.
+    """
+    drawn = blocks(docs.count())
+    prints = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"), F.col("text").cast("string").alias("text"))
+    prints = stored(prints.mapInArrow(wide_prints(drawn), WIDE), "simhash-wide")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "fp", "anchors"))
+    nodes = stored(prints.groupBy("node").agg(one.alias("p")).select("node", "p.id", "p.digest", "p.fp", "p.anchors"), "simhash-nodes")
+    near = stored(candidates(nodes), "simhash-near")
+    involved = near.select("node").unionByName(near.select(F.col("rep").alias("node"))).distinct()
+    wanted = stored(nodes.join(involved, "node").select("id", "digest"), "simhash-involved")
+    sets = documents(docs, wanted).select(F.col("row.text").cast("string").alias("text")).mapInArrow(
+        shingle_sets, "node binary, shingles array<bigint>")
+    sets = stored(sets.dropDuplicates(["node"]), "simhash-sets")
+
+    closest = near.groupBy("node").agg(F.min(F.struct("off", "rep")).alias("c")).select("node", "c.rep")
+    links = stored(overlapping(closest, sets), "simhash-links")
+    roots = components(links, "node", "rep")
+    a, b = roots.select("node", F.col("root").alias("ra")), roots.select(F.col("node").alias("rep"), F.col("root").alias("rb"))
+    apart = near.join(a, "node", "left").join(b, "rep", "left").where(
+        F.coalesce("ra", "node") != F.coalesce("rb", "rep")).select("node", "rep")
+    more = stored(overlapping(apart, sets), "simhash-links")
+    roots = components(links.unionByName(more), "node", "rep")
+    named = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return kept(docs, prints.select("doc_id", "digest", "node"), stored(named, "simhash-roots"))

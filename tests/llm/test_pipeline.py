@@ -9,7 +9,7 @@ from cartwright.session import stored
 from .helpers import AWKWARD, docs
 from .test_bpe import want as encoded
 from .test_quality import brute as measured
-from .test_simhash import brute_print, corpus, unite
+from .test_simhash import corpus, similar_pairs, unite
 
 CLEAN = " ".join(f"clean{i} words here" for i in range(30))
 
@@ -32,14 +32,13 @@ def test_stages_against_plain_versions(spark):
     assert one.columns == df.columns
     assert {r.doc_id for r in one.collect()} <= {d for d, _, _ in good}
     assert {d for d, _, _ in good} - {r.doc_id for r in one.collect()} <= {None, 7}
-    # 2: one document of each component.
+    # 2: one document of each group that is similar by five words and 0.8.
     left = [(r.doc_id, r.text) for r in one.collect()]
-    prints = {(d, t): brute_print(t) for d, t in left}
-    fps = sorted(set(prints.values()))
-    root = unite(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3])
+    root = unite(range(len(left)), similar_pairs([t for _, t in left]) + [
+        (i, j) for i, (_, t) in enumerate(left) for j, (_, u) in enumerate(left[:i]) if t.lower().split() == u.lower().split()])
     best = {}
-    for (d, t), p in prints.items():
-        best[root[p]] = min(best.get(root[p], (True, 0)), (d is None, d))
+    for i, (d, _) in enumerate(left):
+        best[root[i]] = min(best.get(root[i], (True, 0)), (d is None, d))
     two = stored(corpus_pipeline.near_dedup(spark, one, ""), "t")
     assert two.columns == df.columns
     assert sorted((r.doc_id for r in two.collect()), key=repr) == sorted((d for _, d in best.values()), key=repr)

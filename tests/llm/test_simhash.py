@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -107,3 +108,98 @@ def test_components(spark, seed):
     got = components(spark.createDataFrame(pairs, "a bigint, b bigint"), "a", "b").collect()
     assert {r.node: r.root for r in got} == unite(nodes, pairs) if all(p[0] in nodes and p[1] in nodes for p in pairs) else True
     assert len(got) == len(nodes)
+
+
+def sets_of(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_pairs(texts, most=10**9):
+    """All pairs of different word sequences that overlap by 0.8, through the shingles they share.
+
+    ``most`` leaves out shingles of more texts, which are boilerplate: pairs are found by their other shingles.
+    """
+    sets = [sets_of(t) for t in texts]
+    holders = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            holders.setdefault(g, []).append(i)
+    shared = {}
+    for own in holders.values():
+        for x, a in enumerate(own if len(own) <= most else []):
+            for b in own[x + 1:]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    both = {(a, b): len(sets[a] & sets[b]) for (a, b), n in shared.items() if 2 * n >= min(len(sets[a]), len(sets[b]))}
+    return [(a, b) for (a, b), n in both.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+
+
+def edited(n, seed=7):
+    """Texts, and copies of each with single words changed so that some are just above and some below 0.8."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    out = []
+    for i in range(n):
+        words = rng.choices(vocabulary, k=rng.randrange(40, 400))
+        out.append(" ".join(words))
+        for _ in range(3):
+            copy = list(words)
+            for at in rng.sample(range(len(words)), max(1, round(len(words) * rng.uniform(0.002, 0.03)))):
+                copy[at] = rng.choice(vocabulary)
+            out.append(" ".join(copy))
+    return out
+
+
+def kept_of(texts, pairs):
+    root = unite(range(len(texts)), pairs)
+    return {min(j for j in range(len(texts)) if root[j] == root[i]) for i in range(len(texts))}
+
+
+def test_similar_documents_recall_and_precision(spark):
+    texts = edited(150)
+    pairs = similar_pairs(texts)
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    out = simhash.deduplicate_similar(docs(spark, rows, "1 as node; 2 as row; 3 as fp; 4 as anchors"))
+    assert out.columns[:3] == ["doc_id", "text", "source"] and len(out.columns) == 7
+    got, want = {r.doc_id for r in out.collect()}, kept_of(texts, pairs)
+    gone = set(range(len(texts))) - want
+    assert want <= got and len(pairs) > 200
+    assert len(gone & got) <= 0.05 * len(gone)
+
+
+def test_similar_recall_on_the_given_documents(spark):
+    """Pairs that are no exact copies, against brute force over shared shingles."""
+    found = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "source")
+    rows = {}
+    for r in found.orderBy("doc_id").collect():
+        rows.setdefault(b" ".join((r.text or "").encode().lower().split()), r)
+    rows = list(rows.values())
+    pairs = similar_pairs([r.text for r in rows], most=60)
+    got = {r.doc_id for r in simhash.deduplicate_similar(spark.createDataFrame(rows, found.schema)).collect()}
+    root = unite(range(len(rows)), pairs)
+    gone = {r.doc_id for i, r in enumerate(rows) if any(root[i] == root[j] and j < i for p in pairs for j in p)} if pairs else set()
+    want = {r.doc_id for r in rows} - gone
+    assert want <= got and len(gone & got) <= 0.1 * len(gone)
+
+
+def test_similar_edges(spark):
+    """Nulls, empty and short texts, repeated rows, a large group of near copies and one of copies."""
+    base = [f"b{i}" for i in range(120)]
+    near = [(5000 + i, " ".join(base[:i % 100] + [f"x{i}"] + base[i % 100:]), "n") for i in range(300)]
+    rows = AWKWARD + near + [(6000 + i, "Five words make one SHINGLE", "c") for i in range(50)] + [(None, " ".join(base), "n")]
+    got = simhash.deduplicate_similar(docs(spark, rows)).collect()
+    assert sorted((r.doc_id for r in got), key=repr) == sorted([1, 4, None, 5, 6, 7, 5000, 6000], key=repr)
+    assert simhash.deduplicate_similar(docs(spark, [])).collect() == []
+
+
+def test_similar_pairs_meet_at_every_size():
+    """The chance that a pair at the threshold shares an anchor, with the blocks for small and large corpora."""
+    rng = np.random.default_rng(1)
+    for count in (1000, 200_000, 50_000_000):
+        drawn = simhash.blocks(count)
+        met = 0
+        for _ in range(400):
+            off = np.zeros(simhash.BITS, bool)
+            off[rng.permutation(simhash.BITS)[:rng.binomial(simhash.BITS, simhash.SHARE)]] = True
+            met += bool((~off[drawn].any(axis=1)).any())
+        assert met >= 0.8 * 400 and drawn.max() < simhash.BITS
