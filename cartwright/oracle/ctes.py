@@ -8,6 +8,7 @@ from the package's own catalog, so that a wrong rule there shows as a mismatch.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass, field
 
 T1, T2 = "TIMESTAMP '1995-01-01'", "TIMESTAMP '2000-01-01'"
 AS_OF = "DATE '2001-08-01'"
@@ -238,117 +239,166 @@ CTES: dict[str, str] = {
         FROM d_date LEFT JOIN f_orders ON f_orders.date_key = d_date.date_key AND order_status = 'Completed'
         WHERE full_date <= {AS_OF} GROUP BY ALL""",
     "v_category": """
-        SELECT category, sum(revenue) AS total_revenue, sum(profit) AS total_profit,
-               count(DISTINCT order_id) AS total_orders,
-               round(sum(revenue) * 100.0 / nullif(sum(sum(revenue)) OVER (), 0), 2) AS revenue_share_pct
-        FROM f_done JOIN d_products USING (product_sk) GROUP BY category""",
+        SELECT g.*, CASE WHEN whole <> 0 THEN round(total_revenue * 100.0 / whole, 2) END AS revenue_share_pct
+        FROM (SELECT category, sum(revenue) AS total_revenue, sum(profit) AS total_profit,
+                     count(DISTINCT order_id) AS total_orders
+              FROM f_done, d_products WHERE f_done.product_sk = d_products.product_sk GROUP BY 1) g,
+             (SELECT sum(revenue) AS whole FROM f_done WHERE product_sk IN (SELECT product_sk FROM d_products))""",
     "v_channel": """
-        SELECT acquisition_channel, sum(revenue) AS total_revenue, count(DISTINCT order_id) AS total_orders,
-               count(DISTINCT customer_sk) AS unique_customers,
-               round(sum(revenue) * 100.0 / nullif(sum(sum(revenue)) OVER (), 0), 2) AS revenue_share_pct
-        FROM f_done JOIN d_customers USING (customer_sk) GROUP BY acquisition_channel""",
+        SELECT g.*, CASE WHEN whole <> 0 THEN round(total_revenue * 100.0 / whole, 2) END AS revenue_share_pct
+        FROM (SELECT acquisition_channel, sum(revenue) AS total_revenue, count(DISTINCT order_id) AS total_orders,
+                     count(DISTINCT f_done.customer_sk) AS unique_customers
+              FROM f_done, d_customers WHERE f_done.customer_sk = d_customers.customer_sk GROUP BY 1) g,
+             (SELECT sum(revenue) AS whole FROM f_done WHERE customer_sk IN (SELECT customer_sk FROM d_customers))""",
     "v_top": """
         SELECT product_name, category, sum(profit) AS total_profit, sum(revenue) AS total_revenue,
                CAST(sum(quantity) AS BIGINT) AS units_sold
         FROM f_done JOIN d_products USING (product_sk) GROUP BY product_name, category
         ORDER BY total_profit DESC, product_name, category LIMIT 10""",
     "v_retention": """
-        SELECT customer_segment, count(DISTINCT order_id) AS total_orders,
-               count(DISTINCT customer_sk) AS unique_customers, sum(revenue) AS total_revenue,
-               round(count(DISTINCT order_id) * 100.0 / nullif(sum(count(DISTINCT order_id)) OVER (), 0), 2)
-                   AS order_share_pct
-        FROM f_orders JOIN d_customers USING (customer_sk) GROUP BY customer_segment""",
+        SELECT g.*, CASE WHEN whole <> 0 THEN round(total_orders * 100.0 / whole, 2) END AS order_share_pct
+        FROM (SELECT customer_segment, count(DISTINCT order_id) AS total_orders,
+                     count(DISTINCT f_orders.customer_sk) AS unique_customers, sum(revenue) AS total_revenue
+              FROM f_orders, d_customers WHERE f_orders.customer_sk = d_customers.customer_sk GROUP BY 1) g,
+             (SELECT count(DISTINCT order_id) AS whole FROM f_orders
+              WHERE customer_sk IN (SELECT customer_sk FROM d_customers))""",
     "v_status": """
-        SELECT order_status, count(DISTINCT order_id) AS order_count, sum(revenue) AS total_revenue,
-               round(count(DISTINCT order_id) * 100.0 / nullif(sum(count(DISTINCT order_id)) OVER (), 0), 2)
-                   AS pct_of_total
-        FROM f_orders GROUP BY order_status""",
+        SELECT g.*, CASE WHEN whole <> 0 THEN round(order_count * 100.0 / whole, 2) END AS pct_of_total
+        FROM (SELECT order_status, count(DISTINCT order_id) AS order_count, sum(revenue) AS total_revenue
+              FROM f_orders GROUP BY 1) g,
+             (SELECT count(DISTINCT order_id) AS whole FROM f_orders)""",
 }
 
 # --- raw rows with faults, checked and cleaned --------------------------------------------------
 
-# entity: id, then columns as text; faults as column: [(modulus, bad value)], the last one on top
-_TEXT = {
-    "customers": ("customer_id", ["signup_date:d", "country", "acquisition_channel", "customer_segment"]),
-    "products": ("product_id", ["product_name", "category", "cost_price", "selling_price", "inventory_quantity"]),
-    "orders": ("order_id", ["customer_id", "product_id", "quantity", "unit_price", "total_amount",
-                            "order_timestamp:t", "payment_method", "order_status"]),
-    "payments": ("payment_id", ["order_id", "payment_date:t", "payment_method", "amount", "payment_status"]),
-    "inventory": ("inventory_id", ["product_id", "warehouse_location", "quantity_on_hand", "last_restock_date:d"]),
-    "revenue": ("revenue_id", ["record_date:d", "total_revenue", "total_profit"]),
-    "returns": ("return_id", ["order_id", "return_date:t", "return_reason", "refund_amount", "return_status"]),
+# Per entity its key and its other columns in order, each with the kind of its text and how it is cleaned.
+_COLUMNS = {
+    "customers": ("customer_id", [
+        ("signup_date", "plain", "date"), ("country", "plain", "upper"), ("acquisition_channel", "plain", "title"),
+        ("customer_segment", "plain", "title")]),
+    "products": ("product_id", [
+        ("product_name", "plain", "text"), ("category", "plain", "title"), ("cost_price", "plain", "money"),
+        ("selling_price", "plain", "money"), ("inventory_quantity", "plain", "int")]),
+    "orders": ("order_id", [
+        ("customer_id", "plain", "text"), ("product_id", "plain", "text"), ("quantity", "plain", "int"),
+        ("unit_price", "plain", "money"), ("total_amount", "plain", "money"), ("order_timestamp", "moment", "time"),
+        ("payment_method", "plain", "text"), ("order_status", "plain", "title")]),
+    "payments": ("payment_id", [
+        ("order_id", "plain", "text"), ("payment_date", "moment", "time"), ("payment_method", "plain", "text"),
+        ("amount", "plain", "money"), ("payment_status", "plain", "title")]),
+    "inventory": ("inventory_id", [
+        ("product_id", "plain", "text"), ("warehouse_location", "plain", "text"), ("quantity_on_hand", "plain", "int"),
+        ("last_restock_date", "plain", "date")]),
+    "revenue": ("revenue_id", [
+        ("record_date", "plain", "date"), ("total_revenue", "plain", "daily"), ("total_profit", "plain", "daily")]),
+    "returns": ("return_id", [
+        ("order_id", "plain", "text"), ("return_date", "moment", "time"), ("return_reason", "plain", "title"),
+        ("refund_amount", "plain", "money"), ("return_status", "plain", "title")]),
 }
-_BAD = {
-    "customers": {"country": "131p 103n", "acquisition_channel": "107e", "signup_date": "127d"},
-    "products": {"category": "131p", "selling_price": "113f", "cost_price": "109m", "product_name": "103n"},
-    "orders": {"payment_method": "131p", "order_timestamp": "127d", "unit_price": "113f", "quantity": "97l 109m",
-               "order_status": "107i", "total_amount": "103n"},
-    "payments": {"payment_method": "131p 103n", "payment_date": "127d", "amount": "113f 109m",
-                 "payment_status": "107e"},
-    "inventory": {"warehouse_location": "131p 103n", "last_restock_date": "127d", "quantity_on_hand": "113f 109m"},
-    "revenue": {"record_date": "127d", "total_revenue": "113f 103n", "total_profit": "109m"},
-    "returns": {"return_status": "131p", "return_date": "127d", "refund_amount": "113f 109m 103n",
-                "return_reason": "107e"},
+
+# Faults of the raw rows: in every row whose number a modulus divides, a column gets a bad value; the last one wins.
+PADDED = "padded"
+_FAULTS = {
+    "customers": {
+        "country": [(131, PADDED), (103, "NULL")], "acquisition_channel": [(107, "'Twitter'")],
+        "signup_date": [(127, "'not-a-date'")]},
+    "products": {
+        "category": [(131, PADDED)], "selling_price": [(113, "'free'")], "cost_price": [(109, "'-1'")],
+        "product_name": [(103, "NULL")]},
+    "orders": {
+        "payment_method": [(131, PADDED)], "order_timestamp": [(127, "'not-a-date'")], "unit_price": [(113, "'free'")],
+        "quantity": [(97, "'99999999999'"), (109, "'-1'")], "order_status": [(107, "'InProgress'")],
+        "total_amount": [(103, "NULL")]},
+    "payments": {
+        "payment_method": [(131, PADDED), (103, "NULL")], "payment_date": [(127, "'not-a-date'")],
+        "amount": [(113, "'free'"), (109, "'-1'")], "payment_status": [(107, "'Twitter'")]},
+    "inventory": {
+        "warehouse_location": [(131, PADDED), (103, "NULL")], "last_restock_date": [(127, "'not-a-date'")],
+        "quantity_on_hand": [(113, "'free'"), (109, "'-1'")]},
+    "revenue": {
+        "record_date": [(127, "'not-a-date'")], "total_revenue": [(113, "'free'"), (103, "NULL")],
+        "total_profit": [(109, "'-1'")]},
+    "returns": {
+        "return_status": [(131, PADDED)], "return_date": [(127, "'not-a-date'")],
+        "refund_amount": [(113, "'free'"), (109, "'-1'"), (103, "NULL")], "return_reason": [(107, "'Twitter'")]},
 }
-_VALUE = {"n": "NULL", "e": "'Twitter'", "i": "'InProgress'", "d": "'not-a-date'", "f": "'free'", "m": "'-1'", "l": "'99999999999'"}
 
 
 def _raw(entity: str) -> str:
-    key, columns = _TEXT[entity]
+    key, columns = _COLUMNS[entity]
     out = [f"CASE WHEN _k % 101 = 0 THEN 'not-a-uuid' ELSE {key} END AS {key}"]
-    for c in columns:
-        name, _, kind = c.partition(":")
-        value = f"strftime({name}, '%Y-%m-%dT%H:%M:%SZ')" if kind == "t" else f"CAST({name} AS VARCHAR)"
-        for fault in _BAD[entity].get(name, "").split():
-            bad = f"'  ' || {value} || ' '" if fault[-1] == "p" else _VALUE[fault[-1]]
-            value = f"CASE WHEN _k % {fault[:-1]} = 0 THEN {bad} ELSE {value} END"
+    for name, kind, _ in columns:
+        value = f"strftime({name}, '%Y-%m-%dT%H:%M:%SZ')" if kind == "moment" else f"CAST({name} AS VARCHAR)"
+        for modulus, bad in _FAULTS[entity].get(name, []):
+            bad = f"'  ' || {value} || ' '" if bad == PADDED else bad
+            value = f"CASE WHEN _k % {modulus} = 0 THEN {bad} ELSE {value} END"
         out.append(f"{value} AS {name}")
     place = ", l_partkey, l_suppkey, l_extendedprice" if entity in ("orders", "returns") else ""
     return f"SELECT {', '.join(out)}, _loaded_at, _source_file, _k{place} FROM t_{entity}"
 
 
-# entity: not null, identifiers, decimals, integers, enums, storage identifiers, storage timestamps
+@dataclass(frozen=True)
+class _Rules:
+    """What the rows of an entity have to meet; every identifier is also unique."""
+
+    required: tuple[str, ...]
+    identifier: str
+    decimals: tuple[str, ...] = ()
+    integers: tuple[str, ...] = ()
+    allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    references: tuple[str, ...] = ()
+    moments: tuple[str, ...] = ()
+
+
 _RULES = {
-    "customers": ("customer_id signup_date country acquisition_channel customer_segment", "customer_id", "", "",
-                  {"acquisition_channel": "'Organic','Facebook','Google','Email'",
-                   "customer_segment": "'New','Returning','VIP'"}, "", ""),
-    "products": ("product_id product_name category cost_price selling_price inventory_quantity", "product_id",
-                 "cost_price selling_price", "inventory_quantity", {}, "", ""),
-    "orders": ("order_id customer_id product_id quantity unit_price total_amount order_timestamp", "order_id",
-               "unit_price total_amount", "quantity",
-               {"order_status": "'Pending','Completed','Cancelled','Refunded'"}, "customer_id product_id",
-               "order_timestamp"),
-    "payments": ("payment_id order_id payment_date payment_method amount payment_status", "payment_id", "amount", "",
-                 {"payment_status": "'Successful','Failed','Pending'"}, "order_id", ""),
-    "inventory": ("inventory_id product_id warehouse_location quantity_on_hand last_restock_date", "inventory_id", "",
-                  "quantity_on_hand", {}, "product_id", ""),
-    "revenue": ("revenue_id record_date total_revenue total_profit", "revenue_id", "total_revenue total_profit", "",
-                {}, "", ""),
-    "returns": ("return_id order_id return_date return_reason refund_amount return_status", "return_id",
-                "refund_amount", "",
-                {"return_reason": "'Defective','Wrong Item','Changed Mind'",
-                 "return_status": "'Processed','Pending','Rejected'"}, "order_id", ""),
+    "customers": _Rules(
+        ("customer_id", "signup_date", "country", "acquisition_channel", "customer_segment"), "customer_id",
+        allowed={"acquisition_channel": ("Organic", "Facebook", "Google", "Email"),
+                 "customer_segment": ("New", "Returning", "VIP")}),
+    "products": _Rules(
+        ("product_id", "product_name", "category", "cost_price", "selling_price", "inventory_quantity"), "product_id",
+        decimals=("cost_price", "selling_price"), integers=("inventory_quantity",)),
+    "orders": _Rules(
+        ("order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "order_timestamp"), "order_id",
+        decimals=("unit_price", "total_amount"), integers=("quantity",),
+        allowed={"order_status": ("Pending", "Completed", "Cancelled", "Refunded")},
+        references=("customer_id", "product_id"), moments=("order_timestamp",)),
+    "payments": _Rules(
+        ("payment_id", "order_id", "payment_date", "payment_method", "amount", "payment_status"), "payment_id",
+        decimals=("amount",), allowed={"payment_status": ("Successful", "Failed", "Pending")}, references=("order_id",)),
+    "inventory": _Rules(
+        ("inventory_id", "product_id", "warehouse_location", "quantity_on_hand", "last_restock_date"), "inventory_id",
+        integers=("quantity_on_hand",), references=("product_id",)),
+    "revenue": _Rules(
+        ("revenue_id", "record_date", "total_revenue", "total_profit"), "revenue_id",
+        decimals=("total_revenue", "total_profit")),
+    "returns": _Rules(
+        ("return_id", "order_id", "return_date", "return_reason", "refund_amount", "return_status"), "return_id",
+        decimals=("refund_amount",),
+        allowed={"return_reason": ("Defective", "Wrong Item", "Changed Mind"),
+                 "return_status": ("Processed", "Pending", "Rejected")},
+        references=("order_id",)),
 }
 
 
 def _reasons(entity: str, guard: bool, scope: str = "_source_file") -> str:
-    nulls, ids, decimals, integers, enums, refs, stamps = _RULES[entity]
-    found = {f"null:{c}": f"{c} IS NULL" for c in nulls.split()}
-    for c in ids.split():
-        found[f"uuid:{c}"] = f"NOT regexp_matches({c}, '{UUID}')"
-        found[f"unique:{c}"] = f"{c} IS NOT NULL AND count(*) OVER (PARTITION BY {scope}, {c}) > 1"
-    for c in decimals.split():
+    rules = _RULES[entity]
+    found = {f"null:{c}": f"{c} IS NULL" for c in rules.required}
+    found[f"uuid:{rules.identifier}"] = f"NOT regexp_matches({rules.identifier}, '{UUID}')"
+    found[f"unique:{rules.identifier}"] = (
+        f"{rules.identifier} IS NOT NULL AND count(*) OVER (PARTITION BY {scope}, {rules.identifier}) > 1")
+    for c in rules.decimals:
         found[f"number:{c}"] = rf"NOT regexp_matches({c}, '^\d+(\.\d+)?$')"
-    for c in integers.split():
+    for c in rules.integers:
         found[f"number:{c}"] = rf"NOT regexp_matches({c}, '^\d+$')"
-    for c, allowed in enums.items():
-        found[f"enum:{c}"] = f"{c} NOT IN ({allowed})"
+    for c, allowed in rules.allowed.items():
+        found[f"enum:{c}"] = f"{c} NOT IN {allowed}"
     if guard:
-        for c in integers.split():
+        for c in rules.integers:
             found[f"overflow:{c}"] = f"coalesce(abs(try_cast(trim({c}) AS DOUBLE)) >= 2147483648, FALSE)"
-        for c in refs.split():
+        for c in rules.references:
             found[f"uuid:{c}"] = f"NOT regexp_matches({c}, '{UUID}')"
-        for c in stamps.split():
+        for c in rules.moments:
             found[f"unparseable:{c}"] = f"{c} IS NOT NULL AND try_cast({c} AS TIMESTAMP) IS NULL"
     cases = ", ".join(f"CASE WHEN {found[n]} THEN '{n}' END" for n in sorted(found))
     return f"concat_ws('|', {cases})"
@@ -365,36 +415,26 @@ _CLEAN = {
     "title": title("{}"),
     "text": "{}",
 }
-_KIND = {
-    "customers": "text date upper title title",
-    "products": "text text title money money int",
-    "orders": "text text text int money money time text title",
-    "payments": "text text time text money title",
-    "inventory": "text text text int date",
-    "revenue": "text date daily daily",
-    "returns": "text text time title money title",
-}
 
 
 def strip(c: str) -> str:
     return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 
 
-def _cleaned(entity: str) -> str:
-    key, columns = _TEXT[entity]
-    names = [key, *[c.partition(":")[0] for c in columns]]
-    out = [f"{_CLEAN[k].replace('{}', strip(n))} AS {n}" for n, k in zip(names, _KIND[entity].split())]
-    return ", ".join(out)
+def columns_of(entity: str) -> list[str]:
+    key, columns = _COLUMNS[entity]
+    return [key, *[name for name, _, _ in columns]]
 
 
-def columns_of(entity: str) -> list[str]:
-    key, columns = _TEXT[entity]
-    return [key, *[c.partition(":")[0] for c in columns]]
+def _cleaned(entity: str) -> str:
+    key, columns = _COLUMNS[entity]
+    kinds = [(key, "text"), *[(name, clean) for name, _, clean in columns]]
+    return ", ".join(f"{_CLEAN[kind].replace('{}', strip(name))} AS {name}" for name, kind in kinds)
 
 
-for _e in _TEXT:
+for _e in _COLUMNS:
     _order = ", l_partkey DESC, l_suppkey DESC, l_extendedprice DESC" if _e in ("orders", "returns") else ""
-    _key = _TEXT[_e][0]
+    _key = _COLUMNS[_e][0]
     CTES[f"raw_{_e}"] = _raw(_e)
     CTES[f"chk_{_e}"] = f"SELECT *, {_reasons(_e, False)} AS reasons FROM raw_{_e}"
     CTES[f"grd_{_e}"] = f"SELECT *, {_reasons(_e, True)} AS reasons FROM raw_{_e}"
