@@ -90,3 +90,26 @@ def repeated_current_rows(dim: DataFrame, key: str) -> DataFrame:
 def key_repeats(table: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with how often."""
     return table.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+# Stored tables and the columns that identify a row of theirs.
+STORED_KEYS = (
+    ("stg_customers", ("customer_id",)), ("stg_products", ("product_id",)), ("stg_orders", ("order_id",)),
+    ("stg_payments", ("payment_id",)), ("stg_inventory", ("inventory_id",)), ("stg_revenue", ("revenue_id",)),
+    ("stg_returns", ("return_id",)), ("dim_customers", ("customer_sk",)), ("dim_products", ("product_sk",)),
+    ("dim_date", ("date_key",)), ("dim_date", ("full_date",)), ("fact_orders", ("order_id", "order_timestamp")),
+    ("fact_payments", ("payment_id",)), ("fact_returns", ("return_id",)),
+    # Valid from a moment on: a natural key repeats with every version, but never with the same start.
+    ("dim_customers", ("customer_id", "valid_from")), ("dim_products", ("product_id", "valid_from")),
+)
+
+
+def stored_key_repeats(tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, Sequence[str]]] = STORED_KEYS) -> DataFrame:
+    """Per table and key: how many values occur more than once, and in how many rows."""
+
+    def count(table: str, key: Sequence[str]) -> DataFrame:
+        repeats = key_repeats(tables[table].select(*key), key)
+        return repeats.agg(F.count("*").alias("repeated_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).select(
+            F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key"), "repeated_keys", "row_count")
+
+    return reduce(DataFrame.unionByName, [count(*k) for k in keys])

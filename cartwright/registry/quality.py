@@ -16,6 +16,7 @@ from ..operators import quality
 from ..plans.warehouse import Warehouse
 from .base import query
 from .dashboards import as_of
+from .sources import COUNTED
 
 
 def purged(w: Warehouse) -> dict[str, DataFrame]:
@@ -150,3 +151,20 @@ def key_unique(w: Warehouse):
         ).select(F.lit(entity).alias("entity"), "repeated_keys", "row_count")
 
     return reduce(DataFrame.unionByName, [check(e) for e in ENTITIES])
+
+
+# Beside the keys of the stored tables three that do repeat: natural keys over all versions, and a part of a key.
+CHECKED_KEYS = (
+    *quality.STORED_KEYS, ("dim_customers", ("customer_id",)), ("dim_products", ("product_id",)),
+    ("fact_orders", ("order_timestamp",)),
+)
+
+
+@query("qc_stored_key_unique", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{','.join(key)}' AS key, count(*) AS repeated_keys, "
+    f"CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count "
+    f"FROM (SELECT count(*) AS n FROM {COUNTED[t]} GROUP BY {', '.join(key)} HAVING count(*) > 1)"
+    for t, key in CHECKED_KEYS))
+def stored_key_unique(w: Warehouse):
+    """Repeated keys of the stored tables: none for those that identify a row."""
+    return quality.stored_key_repeats(w, CHECKED_KEYS)

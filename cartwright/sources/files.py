@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import ENTITIES
 from ..functions.text import na_to_null
 
+# Fields of a CSV line before they have names, and how many more than an entity's a file may have.
+FIELD, SPARE = "_field", 16
+
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Every file below a folder, as ``object_path`` and ``entity``.
@@ -45,16 +50,37 @@ def read_raw(spark: SparkSession, root: str, entity: str) -> DataFrame:
     Adds ``_source_file`` and ``_row``, the row's place in its file.
     """
     scan = _csv(spark.read, root, entity)
-    return with_lineage(scan.select("*", *file_columns()), root)
+    return with_lineage(bound(scan.select("*", *file_columns()), entity), root)
 
 
 def stream_raw(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """The same files as a stream; apply ``with_lineage`` to each of its batches."""
+    """The same files as a stream; apply ``bound`` and ``with_lineage`` to each of its batches."""
     return _csv(spark.readStream, root, entity).select("*", *file_columns())
 
 
+def bound(rows: DataFrame, entity: str) -> DataFrame:
+    """Fields of files as the entity's columns, each by its name in its file's own first line.
+
+    The order of columns may differ from file to file; a column that a file
+    lacks is null, one that is not the entity's is left out. First lines are one
+    row per file. Rows whose columns already have names pass through.
+    """
+    fields = [c for c in rows.columns if re.fullmatch(FIELD + r"\d+", c)]
+    if not fields:
+        return rows
+    placed = rows.select(F.array(*fields).alias("values"), "_uri", "_block", F.monotonically_increasing_id().alias("_at"))
+    first = placed.groupBy(F.col("_uri").alias("of")).agg(F.min_by("values", F.struct("_block", "_at")).alias("header"))
+    body = placed.join(first, F.col("_uri") == F.col("of")).filter(~F.col("values").eqNullSafe(F.col("header")))
+    names = F.transform("header", lambda c: F.trim(c))
+    found = body.withColumn("names", names)
+    place = {c: F.array_position("names", c).cast("int") - 1 for c in ENTITIES[entity].columns}
+    return found.select(*[F.when(at >= 0, F.get("values", at)).alias(c) for c, at in place.items()], "_uri", "_block", "_at")
+
+
 def _csv(reader, root: str, entity: str) -> DataFrame:
-    options = reader.schema(ENTITIES[entity].raw_schema).option("header", True).option("recursiveFileLookup", True)
+    width = len(ENTITIES[entity].columns) + SPARE
+    fields = ", ".join(f"{FIELD}{i} string" for i in range(width))
+    options = reader.schema(fields).option("header", False).option("recursiveFileLookup", True)
     # Quotes inside a quoted field are doubled, line breaks are part of it, a backslash is a character.
     # A file is then read by one task: files are batches of minutes, and there are many.
     options = options.option("escape", '"').option("multiLine", True)
@@ -71,8 +97,9 @@ def with_lineage(rows: DataFrame, root: str) -> DataFrame:
     A split of a file is read front to back by one task, so the split's offset
     and the running id inside the task order the rows of a file.
     """
-    values = [c for c in rows.columns if c not in ("_uri", "_block")]
-    position = F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("at"))
+    values = [c for c in rows.columns if c not in ("_uri", "_block", "_at")]
+    at = F.col("_at") if "_at" in rows.columns else F.monotonically_increasing_id()
+    position = F.struct(F.col("_block").alias("block"), at.alias("at"))
     return rows.select(
         *[na_to_null(F.col(c)).alias(c) for c in values],
         object_path(F.col("_uri"), root).alias("_source_file"),

@@ -112,3 +112,24 @@ def test_quotes_line_breaks_and_backslashes_survive(spark, tmp_path):
     (folder / "f.csv").write_text("\n".join([",".join(columns[:-1]), *body]) + "\n")
     got = files.read_raw(spark, str(tmp_path / "b"), "products").collect()
     assert {r.product_id: r.product_name for r in got} == {r[0]: r[1] for r in rows}
+
+
+def test_columns_are_bound_by_their_own_header(spark, tmp_path):
+    """Another order of columns, a column more, one less, a quoted header."""
+    folder = tmp_path / "entity=products"
+    folder.mkdir(parents=True)
+    columns = list(ENTITIES["products"].columns)
+    row = ROWS["products"][0]
+    turned = columns[::-1]
+    (folder / "a.csv").write_text(",".join(columns) + "\n" + ",".join(row[c] for c in columns) + "\n")
+    (folder / "b.csv").write_text(",".join(turned) + "\n" + ",".join(row[c] for c in turned) + "\n")
+    more = ["note", *columns[2:], *columns[:2]]
+    (folder / "c.csv").write_text(",".join(f'"{c}"' for c in more) + "\n" + ",".join({**row, "note": "x, \"y".replace('"', "")}[c].replace(",", ";") for c in more) + "\n")
+    less = columns[1:]
+    (folder / "d.csv").write_text(",".join(less) + "\n" + ",".join(row[c] for c in less) + "\n")
+    (folder / "e.csv").write_text(",".join(turned) + "\n")
+    got = {r._source_file[-5:]: r for r in files.read_raw(spark, str(tmp_path), "products").collect()}
+    assert sorted(got) == ["a.csv", "b.csv", "c.csv", "d.csv"]
+    for name in ("a.csv", "b.csv", "c.csv"):
+        assert {c: got[name][c] for c in columns} == row
+    assert got["d.csv"].product_id is None and got["d.csv"].product_name == row["product_name"]
