@@ -172,13 +172,15 @@ BITS, DIFFERING = 256, 72
 # Share of bits that a pair at the threshold differs in; blocks expected to agree in such a pair.
 SHARE, AGREEING = 0.155, 3.5
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+# An anchor's bits beside its block's number; blocks are at most that wide.
+ANCHOR_BITS = 40
 # Odd numbers that make four hashes of one.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
 def blocks(count: int) -> np.ndarray:
     """The bits of each block, a row per block, for a number of documents."""
-    width = min(40, max(14, int(count).bit_length() + 3))
+    width = min(ANCHOR_BITS, max(14, int(count).bit_length() + 3))
     number = int(np.ceil(AGREEING / (1 - SHARE) ** width))
     rng = np.random.default_rng(SEED)
     return np.array([rng.permutation(BITS)[:width] for _ in range(number)])
@@ -246,24 +248,30 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(node, rep, off): the pairs that meet at an anchor and differ in at most ``DIFFERING`` bits."""
-    held = nodes.select("node", F.posexplode("anchors").alias("block", "anchor"))
-    first = F.min(F.struct(F.xxhash64("block", "node").alias("order"), "node"))
-    reps = held.groupBy("block", "anchor").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select(
-        "block", "anchor", F.col("first.node").alias("rep"))
-    met = held.join(stored(reps, "simhash-reps"), ["block", "anchor"]).where("node <> rep").select("node", "rep").distinct()
+    """(n, rep, off): the pairs that meet at an anchor and differ in at most ``DIFFERING`` bits.
+
+    Numbers only, so that anchors are aggregated by hash. The representative is the member whose
+    number, mixed with the anchor by exclusive or, is smallest.
+    """
+    key = F.shiftleft(F.col("block").cast("bigint"), ANCHOR_BITS).bitwiseOR(F.col("anchor"))
+    held = nodes.select("n", F.posexplode("anchors").alias("block", "anchor")).select(key.alias("key"), "n")
+    mixed = F.col("n").bitwiseXOR(F.xxhash64("key"))
+    reps = held.groupBy("key").agg(F.min(mixed).alias("least"), F.count("*").alias("members")).where("members > 1").select(
+        "key", F.col("least").bitwiseXOR(F.xxhash64("key")).alias("rep"))
+    met = held.join(stored(reps, "simhash-reps"), "key").where("n <> rep").select("n", "rep").distinct()
     met = stored(met, "simhash-met")
-    own, there = nodes.select("node", F.col("fp").alias("a")), nodes.select(F.col("node").alias("rep"), F.col("fp").alias("b"))
-    off = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return met.join(own, "node").join(there, "rep").select("node", "rep", off.alias("off")).where(F.col("off") <= DIFFERING)
+    own, there = nodes.select("n", F.col("fp").alias("a")), nodes.select(F.col("n").alias("rep"), F.col("fp").alias("b"))
+    words = [F.bit_count(F.get("a", F.lit(i)).bitwiseXOR(F.get("b", F.lit(i)))) for i in range(BITS // 64)]
+    off = words[0] + words[1] + words[2] + words[3]
+    return met.join(own, "n").join(there, "rep").select("n", "rep", off.alias("off")).where(F.col("off") <= DIFFERING)
 
 
 def overlapping(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose shingle sets overlap by ``SIMILAR`` or more."""
-    there = sets.select(F.col("node").alias("rep"), F.col("shingles").alias("other"))
+    there = sets.select(F.col("n").alias("rep"), F.col("shingles").alias("other"))
     both = F.size(F.array_intersect("shingles", "other"))
-    return pairs.join(sets, "node").join(there, "rep").where(
-        both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select("node", "rep")
+    return pairs.join(sets, "n").join(there, "rep").where(
+        both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select("n", "rep")
 
 
 def deduplicate_similar(docs: DataFrame) -> DataFrame:
@@ -279,21 +287,23 @@ def deduplicate_similar(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"), F.col("text").cast("string").alias("text"))
     prints = stored(prints.mapInArrow(wide_prints(drawn), WIDE), "simhash-wide")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "fp", "anchors"))
-    nodes = stored(prints.groupBy("node").agg(one.alias("p")).select("node", "p.id", "p.digest", "p.fp", "p.anchors"), "simhash-nodes")
+    # Stored with their numbers, which then stay as they are.
+    nodes = prints.groupBy("node").agg(one.alias("p")).select(
+        F.monotonically_increasing_id().alias("n"), "node", "p.id", "p.digest", "p.fp", "p.anchors")
+    nodes = stored(nodes, "simhash-nodes")
     near = stored(candidates(nodes), "simhash-near")
-    involved = near.select("node").unionByName(near.select(F.col("rep").alias("node"))).distinct()
-    wanted = stored(nodes.join(involved, "node").select("id", "digest"), "simhash-involved")
-    sets = documents(docs, wanted).select(F.col("row.text").cast("string").alias("text")).mapInArrow(
+    involved = near.select("n").unionByName(near.select(F.col("rep").alias("n"))).distinct()
+    wanted = stored(nodes.join(involved, "n").select("n", "node", "id", "digest"), "simhash-involved")
+    sets = documents(docs, wanted.select("id", "digest")).select(F.col("row.text").cast("string").alias("text")).mapInArrow(
         shingle_sets, "node binary, shingles array<bigint>")
-    sets = stored(sets.dropDuplicates(["node"]), "simhash-sets")
+    sets = stored(wanted.select("n", "node").join(sets.dropDuplicates(["node"]), "node").select("n", "shingles"), "simhash-sets")
 
-    closest = near.groupBy("node").agg(F.min(F.struct("off", "rep")).alias("c")).select("node", "c.rep")
+    closest = near.groupBy("n").agg(F.min_by("rep", "off").alias("rep"))
     links = stored(overlapping(closest, sets), "simhash-links")
-    roots = components(links, "node", "rep")
-    a, b = roots.select("node", F.col("root").alias("ra")), roots.select(F.col("node").alias("rep"), F.col("root").alias("rb"))
-    apart = near.join(a, "node", "left").join(b, "rep", "left").where(
-        F.coalesce("ra", "node") != F.coalesce("rb", "rep")).select("node", "rep")
+    roots = components(links, "n", "rep")
+    a, b = roots.select(F.col("node").alias("n"), F.col("root").alias("ra")), roots.select(F.col("node").alias("rep"), F.col("root").alias("rb"))
+    apart = near.join(a, "n", "left").join(b, "rep", "left").where(F.coalesce("ra", "n") != F.coalesce("rb", "rep")).select("n", "rep")
     more = stored(overlapping(apart, sets), "simhash-links")
-    roots = components(links.unionByName(more), "node", "rep")
-    named = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    roots = components(links.unionByName(more), "n", "rep").withColumnRenamed("node", "of")
+    named = nodes.select("n", "node").join(roots, F.col("n") == F.col("of"), "left").select("node", F.coalesce("root", "n").alias("root"))
     return kept(docs, prints.select("doc_id", "digest", "node"), stored(named, "simhash-roots"))
