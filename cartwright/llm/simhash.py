@@ -271,7 +271,7 @@ def overlapping(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     there = sets.select(F.col("n").alias("rep"), F.col("shingles").alias("other"))
     both = F.size(F.array_intersect("shingles", "other"))
     return pairs.join(sets, "n").join(there, "rep").where(
-        both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select("n", "rep")
+        both >= SIMILAR * (F.size("shingles") + F.size("other") - both)).select(*pairs.columns)
 
 
 def deduplicate_similar(docs: DataFrame) -> DataFrame:
@@ -300,10 +300,14 @@ def deduplicate_similar(docs: DataFrame) -> DataFrame:
 
     closest = near.groupBy("n").agg(F.min_by("rep", "off").alias("rep"))
     links = stored(overlapping(closest, sets), "simhash-links")
-    roots = components(links, "n", "rep")
+    roots = stored(components(links, "n", "rep"), "simhash-groups")
     a, b = roots.select(F.col("node").alias("n"), F.col("root").alias("ra")), roots.select(F.col("node").alias("rep"), F.col("root").alias("rb"))
-    apart = near.join(a, "n", "left").join(b, "rep", "left").where(F.coalesce("ra", "n") != F.coalesce("rb", "rep")).select("n", "rep")
-    more = stored(overlapping(apart, sets), "simhash-links")
-    roots = components(links.unionByName(more), "n", "rep").withColumnRenamed("node", "of")
-    named = nodes.select("n", "node").join(roots, F.col("n") == F.col("of"), "left").select("node", F.coalesce("root", "n").alias("root"))
+    apart = near.join(a, "n", "left").join(b, "rep", "left").select(
+        "n", "rep", F.coalesce("ra", "n").alias("ra"), F.coalesce("rb", "rep").alias("rb")).where("ra <> rb")
+    # What these pairs unite are groups, each named by its root.
+    tops = components(stored(overlapping(apart, sets), "simhash-links"), "ra", "rb").select(
+        F.col("node").alias("top_of"), F.col("root").alias("top"))
+    named = nodes.select("n", "node").join(roots.withColumnRenamed("node", "of"), F.col("n") == F.col("of"), "left").select(
+        "node", F.coalesce("root", "n").alias("group"))
+    named = named.join(tops, F.col("group") == F.col("top_of"), "left").select("node", F.coalesce("top", "group").alias("root"))
     return kept(docs, prints.select("doc_id", "digest", "node"), stored(named, "simhash-roots"))
