@@ -174,6 +174,8 @@ SHARE, AGREEING = 0.155, 3.5
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 # An anchor's bits beside its block's number; blocks are at most that wide.
 ANCHOR_BITS = 40
+# Fingerprints whose anchors are taken at once.
+SLICE = 2048
 # Odd numbers that make four hashes of one.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -214,26 +216,32 @@ def lowered(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-WIDE = "doc_id bigint, digest bigint, node binary, fp array<bigint>, anchors array<bigint>"
+def wide_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, digest, text) -> the words' digest and the wide fingerprint."""
+    for b in batches:
+        words = [lowered(text) for text in b.column("text").to_pylist()]
+        prints = [np.packbits(wide_bits(shingle_set(w)), bitorder="little").view(np.int64) for w in words]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), b.column("digest"), pa.array([md5(b" ".join(w)).digest() for w in words], pa.binary()),
+             pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "digest", "node", "fp"])
 
 
-def wide_prints(drawn: np.ndarray) -> Callable:
-    """(doc_id, digest, text) -> the words' digest, the wide fingerprint, and its anchors."""
-    powers = 1 << np.arange(drawn.shape[1], dtype=np.int64)
+def held_keys(drawn: np.ndarray) -> Callable:
+    """(n, fp) -> (key, n): every anchor of a fingerprint, its block's number above its bits."""
+    number, width = drawn.shape
+    block = np.arange(number, dtype=np.int64) << ANCHOR_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, prints, anchors = [], [], []
-            for text in b.column("text").to_pylist():
-                words = lowered(text)
-                bits = wide_bits(shingle_set(words))
-                nodes.append(md5(b" ".join(words)).digest())
-                prints.append(np.packbits(bits, bitorder="little").view(np.int64))
-                anchors.append(bits[drawn] @ powers)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("digest"), pa.array(nodes, pa.binary()),
-                 pa.array(prints, pa.list_(pa.int64())), pa.array(anchors, pa.list_(pa.int64()))],
-                names=["doc_id", "digest", "node", "fp", "anchors"])
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                prints = part.column("fp").flatten().to_numpy().reshape(-1, BITS // 64)
+                bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little").astype(bool)
+                keys = np.tile(block, (len(bits), 1))
+                for j in range(width):
+                    keys |= bits[:, drawn[:, j]].astype(np.int64) << j
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.ravel()), pa.array(np.repeat(part.column("n").to_numpy(), number))], names=["key", "n"])
 
     return run
 
@@ -247,19 +255,24 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([shingle_set(w).view(np.int64) for w in words], pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, drawn: np.ndarray) -> DataFrame:
     """(n, rep, off): the pairs that meet at an anchor and differ in at most ``DIFFERING`` bits.
 
-    Numbers only, so that anchors are aggregated by hash. The representative is the member whose
-    number, mixed with the anchor by exclusive or, is smallest.
+    The representative is the member whose number, mixed with the anchor by exclusive or, is smallest.
+    Nearly all anchors have one member or two: the smallest and the largest of one aggregate of numbers
+    are the whole anchor then. Only the anchors with more are joined with their members, which are
+    derived from the fingerprints again.
     """
-    key = F.shiftleft(F.col("block").cast("bigint"), ANCHOR_BITS).bitwiseOR(F.col("anchor"))
-    held = nodes.select("n", F.posexplode("anchors").alias("block", "anchor")).select(key.alias("key"), "n")
+    held = nodes.select("n", "fp").mapInArrow(held_keys(drawn), "key bigint, n bigint")
     mixed = F.col("n").bitwiseXOR(F.xxhash64("key"))
-    reps = held.groupBy("key").agg(F.min(mixed).alias("least"), F.count("*").alias("members")).where("members > 1").select(
-        "key", F.col("least").bitwiseXOR(F.xxhash64("key")).alias("rep"))
-    met = held.join(stored(reps, "simhash-reps"), "key").where("n <> rep").select("n", "rep").distinct()
-    met = stored(met, "simhash-met")
+    shared = held.groupBy("key").agg(
+        F.min(mixed).alias("least"), F.max(mixed).alias("most"), F.count("*").alias("members")).where("members > 1")
+    shared = stored(shared.select(
+        "key", F.col("least").bitwiseXOR(F.xxhash64("key")).alias("rep"),
+        F.col("most").bitwiseXOR(F.xxhash64("key")).alias("n"), "members"), "simhash-reps")
+    crowded = stored(shared.where("members > 2").select("key", "rep"), "simhash-crowded")
+    met = held.join(crowded, "key").where("n <> rep").select("n", "rep")
+    met = stored(shared.where("members = 2").select("n", "rep").unionByName(met).distinct(), "simhash-met")
     own, there = nodes.select("n", F.col("fp").alias("a")), nodes.select(F.col("n").alias("rep"), F.col("fp").alias("b"))
     words = [F.bit_count(F.get("a", F.lit(i)).bitwiseXOR(F.get("b", F.lit(i)))) for i in range(BITS // 64)]
     off = words[0] + words[1] + words[2] + words[3]
@@ -285,13 +298,13 @@ def deduplicate_similar(docs: DataFrame) -> DataFrame:
     prints = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"), F.col("text").cast("string").alias("text"))
-    prints = stored(prints.mapInArrow(wide_prints(drawn), WIDE), "simhash-wide")
-    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "fp", "anchors"))
+    prints = stored(prints.mapInArrow(wide_prints, "doc_id bigint, digest bigint, node binary, fp array<bigint>"), "simhash-wide")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "fp"))
     # Stored with their numbers, which then stay as they are.
     nodes = prints.groupBy("node").agg(one.alias("p")).select(
-        F.monotonically_increasing_id().alias("n"), "node", "p.id", "p.digest", "p.fp", "p.anchors")
+        F.monotonically_increasing_id().alias("n"), "node", "p.id", "p.digest", "p.fp")
     nodes = stored(nodes, "simhash-nodes")
-    near = stored(candidates(nodes), "simhash-near")
+    near = stored(candidates(nodes, drawn), "simhash-near")
     involved = near.select("n").unionByName(near.select(F.col("rep").alias("n"))).distinct()
     wanted = stored(nodes.join(involved, "n").select("n", "node", "id", "digest"), "simhash-involved")
     sets = documents(docs, wanted.select("id", "digest")).select(F.col("row.text").cast("string").alias("text")).mapInArrow(
