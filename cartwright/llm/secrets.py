@@ -19,6 +19,9 @@ expected to be secrets. The rule needs how many runs have which p-value over
 the whole corpus: a histogram of at most 20 classes x 401 steps, from one narrow
 pass. The second pass over the texts finds the spans. No row is shuffled.
 
+A text with many spans costs its length and a bounded factor per span: positions are
+summed in blocks and pieces are taken from chunks.
+
 Defined results: a null or empty text has no span; repeated rows are scanned
 alike; an empty table gives an empty result; other columns are passed through
 by :func:`redact`, whatever their names. Positions count code points.
@@ -26,6 +29,8 @@ by :func:`redact`, whatever their names. Positions count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +50,8 @@ RUN = r"[A-Za-z0-9+/_-]{20,}"
 FDR = 0.01
 STEPS_PER_DECADE, LAST_STEP = 20, 400
 LAST_CLASS = 23
+# Arrays up to this length are folded in one go; code points of a chunk that pieces of a text are taken from.
+FEW, CHUNK = 32, 1024
 
 DIGITS, SMALL, CAPITAL = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encoding, what recognises it, and its alphabet; the first that fits is taken.
@@ -59,29 +66,52 @@ ENCODINGS = (
 )
 
 
+def before(values: Column, plus: Callable[[Column, Column], Column]) -> Column:
+    """What ``plus`` makes of the numbers before each one, from zero, and at last of all.
+
+    Growing an array by one copies it, so a long one is folded in blocks of about the root of
+    its length: each block by itself, the blocks' totals, and both together.
+    """
+
+    def folded(items: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(items, start, lambda s, v: F.struct(
+            plus(s.at, v).alias("at"), F.concat(s.out, F.array(s.at)).alias("out")))
+
+    def whole(items: Column) -> Column:
+        return bind(folded(items), lambda s: F.concat(s.out, F.array(s.at)))
+
+    def blocked(items: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(items))).cast("int")
+        cut = bind(size, lambda n: F.transform(
+            F.sequence(F.lit(1), F.size(items), n), lambda first: folded(F.slice(items, first, n))))
+        return bind(cut, lambda parts: bind(whole(F.transform(parts, lambda p: p.at)), lambda starts: F.concat(
+            F.flatten(F.transform(parts, lambda p, i: F.transform(p.out, lambda v: plus(F.get(starts, i), v)))),
+            F.array(F.element_at(starts, -1)))))
+
+    return bind(values, lambda v: F.when(F.size(v) <= FEW, whole(v)).otherwise(blocked(v)))
+
+
+def add(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def matches(text: Column, pattern: str) -> Column:
     """(start, end) of the leftmost non-overlapping matches, in order.
 
     The pieces between the matches and the matches themselves, laid end to end,
     are the text; the positions are the running sum of their lengths.
     """
-    found = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), F.char_length).alias("gap"),
-        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.char_length).alias("length"),
-    )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    lengths = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.char_length)
+    found = F.struct(F.transform(F.split(text, pattern, -1), F.char_length).alias("gaps"), lengths.alias("lengths"))
 
-    def place(state: Column, piece: Column) -> Column:
-        start = state.at + piece.gap
-        end = start + F.coalesce(piece.length, F.lit(0))
-        return F.struct(
-            end.alias("at"),
-            F.when(piece.length.isNull(), state.out)
-            .otherwise(F.concat(state.out, F.array(F.struct(start.alias("start"), end.alias("end"))))).alias("out"),
-        )
+    def place(f: Column) -> Column:
+        steps = F.transform(f.lengths, lambda n, i: F.get(f.gaps, i) + n)
+        return bind(before(steps, add), lambda at: F.transform(f.lengths, lambda n, i: F.struct(
+            (F.get(at, i) + F.get(f.gaps, i)).alias("start"), (F.get(at, i) + F.get(f.gaps, i) + n).alias("end"))))
 
-    placed = F.aggregate(found, F.struct(F.lit(0).alias("at"), empty.alias("out")), place, lambda s: s.out)
-    return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(empty)
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    return F.when(F.rlike(text, F.lit(pattern)), bind(found, place)).otherwise(empty)
 
 
 def assignments(text: Column) -> Column:
@@ -222,18 +252,39 @@ def pattern_spans(text: Column) -> Column:
         of_kind(assignments(text), "assign"), of_kind(matches(text, ACCESS), "access"), of_kind(matches(text, HEX), "hex")))
 
 
+def pieces(text: Column, spans: Column, make: Callable[[Column, Column, Column], Column]) -> Column:
+    """A text made of what ``make`` returns for each span, and what follows the last one.
+
+    ``make`` gets the span, the greatest end of the spans before it, and the text between the two.
+    A substring is found by counting from the start, so texts are cut into chunks once, and
+    a piece is taken from the chunks it lies in.
+    """
+
+    def taken(chunks: Column, first: Column, end: Column) -> Column:
+        def within(c: Column) -> Column:
+            at = F.greatest(first - c * CHUNK, F.lit(0))
+            return F.substr(F.get(chunks, c), at + 1, F.least(end - c * CHUNK, F.lit(CHUNK)) - at)
+
+        over = F.sequence(F.floor(first / CHUNK).cast("int"), F.floor((end - 1) / CHUNK).cast("int"))
+        return F.when(end > first, F.array_join(F.transform(over, within), "")).otherwise(F.lit(""))
+
+    def build(chunks: Column, at: Column) -> Column:
+        made = F.transform(spans, lambda s, i: make(s, F.get(at, i), taken(chunks, F.get(at, i), s.start)))
+        rest = taken(chunks, F.element_at(at, -1), F.char_length(text))
+        return F.concat(F.array_join(made, ""), rest)
+
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+    ends = before(F.transform(spans, lambda s: s.end), F.greatest)
+    return bind(cut, lambda chunks: bind(ends, lambda at: build(chunks, at)))
+
+
 def outside(text: Column, base: Column) -> Column:
     """The text with spaces, which no run has, in place of its pattern spans; positions stay."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        more = F.concat(
-            F.substr(text, state.at + 1, F.greatest(s.start - state.at, F.lit(0))),
-            F.repeat(F.lit(" "), F.greatest(s.end - F.greatest(s.start, state.at), F.lit(0))))
-        return F.struct(F.greatest(state.at, s.end).alias("at"), F.concat(state.out, more).alias("out"))
+    def blank(s: Column, at: Column, gap: Column) -> Column:
+        return F.concat(gap, F.repeat(F.lit(" "), F.greatest(s.end - F.greatest(s.start, at), F.lit(0))))
 
-    blanked = F.aggregate(base, start, step, lambda s: F.concat(s.out, F.substr(text, s.at + 1, F.char_length(text))))
-    return F.when(F.size(base) > 0, blanked).otherwise(text)
+    return F.when(F.size(base) > 0, pieces(text, base, blank)).otherwise(text)
 
 
 def random_spans(text: Column, clearing: dict[int, int]) -> Column:
@@ -282,19 +333,12 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", fdr: float = FDR) -> DataFra
     ``n_chars``, where the table has it, is set to the new length of a changed text.
     """
 
-    def cut(text: Column, spans: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-        def step(state: Column, s: Column) -> Column:
-            gap = F.when(s.start >= state.at, F.concat(
-                F.substr(text, state.at + 1, s.start - state.at), F.lit(mask))).otherwise(F.lit(""))
-            return F.struct(F.greatest(state.at, s.end).alias("at"), F.concat(state.out, gap).alias("out"))
-
-        return F.aggregate(spans, start, step, lambda s: F.concat(s.out, F.substr(text, s.at + 1, F.char_length(text))))
+    def masked(s: Column, at: Column, gap: Column) -> Column:
+        return F.when(s.start >= at, F.concat(gap, F.lit(mask))).otherwise(F.lit(""))
 
     hit = F.size("spans") > 0
     clean = scan(docs, fdr).select(
-        "row", hit.alias("hit"), F.when(hit, cut(F.col("text"), F.col("spans"))).alias("clean"))
+        "row", hit.alias("hit"), F.when(hit, pieces(F.col("text"), F.col("spans"), masked)).alias("clean"))
     row = F.col("row").withField("text", F.when(F.col("hit"), F.col("clean")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
