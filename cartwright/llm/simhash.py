@@ -145,7 +145,14 @@ def kept(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
         prints.groupBy("node").agg(F.min(key).alias("key")).join(roots, "node")
         .groupBy("root").agg(F.min("key").alias("key"))
     )
-    return documents(docs, stored(best.select("key.id", "key.digest"), "simhash-kept")).select("row.*")
+    wanted = stored(best.select("key.id", "key.digest"), "simhash-kept")
+    wanted = wanted.select(F.coalesce("id", F.lit(0)).alias("w_id"), F.col("id").isNull().alias("w_none"), F.col("digest").alias("w_text"))
+    # Nearly every document stays: repeated rows go on the map side, and the join takes the rows as they are dealt then.
+    rows = packed(docs).withColumn("of", F.col("row.doc_id").cast("bigint")).select(
+        "row", F.coalesce("of", F.lit(0)).alias("id"), F.col("of").isNull().alias("none"),
+        F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("text")).dropDuplicates(["id", "none", "text"])
+    same = (rows["id"] == wanted["w_id"]) & (rows["none"] == wanted["w_none"]) & (rows["text"] == wanted["w_text"])
+    return rows.join(wanted, same).select("row.*")
 
 
 def documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
