@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwright.catalog import ENTITIES
-from cartwright.operators import merge, skew
+from cartwright.operators import merge, narrow, skew
 from cartwright.operators import validate as V
+from cartwright.operators.parted import Keyed
 from cartwright.operators.store import Store
 from cartwright.plans import transforms
+from cartwright.plans.hourly import HourlyRun
 from cartwright.plans.warehouse import BUILDERS, ts, warehouse
 from cartwright.session import shared_dir
 from cartwright.sources import files, retail
@@ -102,3 +104,52 @@ def test_a_load_caches_nothing_and_leaves_no_copies(spark, tmp_path, monkeypatch
     assert load.store.read("stg_orders").count() == 1
     left = os.listdir(shared_dir(spark).removeprefix("file:"))
     assert not [n for n in left if n.startswith(("landed-", "checked-"))]
+
+
+ODD_IDS = ["0f8fad5b-d9cb-469f-a165-70867728950e", "0F8FAD5B-d9cb-469f-a165-70867728950e",
+           "0f8fad5b-d9cb-469f-a165-70867728950e\n", "0f8fad5bd9cb469fa16570867728950e", "", "a", "x" * 16, "ä" * 16,
+           "-" * 36, "not-a-uuid", None]
+
+
+def test_packed_identifiers_are_the_same_text_again(spark):
+    df = spark.createDataFrame([(i, c, "k") for i, c in enumerate(ODD_IDS)], "n int, order_id string, other string")
+    packed = narrow.with_packed_ids(df)
+    assert dict(packed.dtypes) == {"n": "int", "order_id": "binary", "other": "string"}
+    got = {r.n: bytes(r.order_id) if r.order_id is not None else None for r in packed.collect()}
+    assert len(got[0]) == 16 and len(set(got.values())) == len(ODD_IDS)
+    assert all(len(b) > 16 for n, b in got.items() if n and b is not None)
+    back = narrow.with_plain_ids(narrow.with_packed_ids(packed), df.schema)
+    assert [r.order_id for r in back.orderBy("n").collect()] == ODD_IDS
+    # Bytes that were no text before stay bytes.
+    raw = spark.createDataFrame([(bytearray(16),)], "order_id binary")
+    assert narrow.with_plain_ids(narrow.with_packed_ids(raw), raw.schema).dtypes == raw.dtypes
+
+
+def test_a_table_in_parts_moves_packed_identifiers(spark, tmp_path):
+    rows = spark.createDataFrame([(c, i) for i, c in enumerate(ODD_IDS[:-1])], "order_id string, n int")
+    table = Keyed(spark, str(tmp_path / "t"), "order_id")
+    table.adopt(rows)
+    table.upsert(rows.filter("n > 2").withColumn("n", F.col("n") + 100).unionByName(
+        spark.createDataFrame([("new", 7)], rows.schema)), ["n"])
+    want = {c: i + 100 * (i > 2) for i, c in enumerate(ODD_IDS[:-1])} | {"new": 7}
+    assert {r.order_id: r.n for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert [r.order_id for r in table.unknown(spark.createDataFrame([("a", 1), ("b", 1)], rows.schema)).collect()] == ["b"]
+
+
+@needs_tables
+@pytest.mark.parametrize("binding", ["current", "asof"])
+def test_orders_that_move_have_packed_identifiers(spark, monkeypatch, binding):
+    w = warehouse(spark, SMALL)
+    monkeypatch.setattr(skew, "LOOKUP_ROWS", 0)
+    rows = transforms.order_rows(w["stg_orders"], w["dim_customers"], w["dim_products"], binding)
+    assert "unhex(" in below_exchanges(rows) and dict(rows.dtypes)["order_id"] == "string"
+
+
+def test_batches_of_a_run_leave_no_copies(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    run = HourlyRun(store, str(tmp_path / "landing"))
+    write(tmp_path / "landing", "orders", "2024-01-01", line("1"), line("2"))
+    run.run("2024-07-01", "2024-07-01 01:00:00")
+    assert run.fact_orders().count() == 2
+    kept = os.listdir(store.root) + os.listdir(shared_dir(spark).removeprefix("file:"))
+    assert not [n for n in kept if "batch" in n or "-sound" in n or n.startswith("newest-")]
