@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..catalog import ENTITIES
 from ..operators import quality
+from ..operators.narrow import with_packed_ids, with_plain_ids
+from ..operators.skew import lookup
 from ..plans.warehouse import Warehouse
 from .base import query
 from .dashboards import as_of
@@ -38,7 +40,9 @@ DATE_GONE = "date_key NOT IN (SELECT date_key FROM d_date)"
 
 def _cleared(w: Warehouse, fact: str, column: str, dim: str, key: str) -> DataFrame:
     tables = purged(w)
-    return quality.clear_orphans(tables[fact], column, tables[dim]).select(key, column)
+    rows = tables[fact].select(key, column)
+    cleared = quality.clear_orphans(with_packed_ids(rows), column, lookup(tables[dim].select(column)))
+    return with_plain_ids(cleared, rows.schema)
 
 
 @query(

@@ -11,6 +11,7 @@ from ..functions.numbering import number_by_integer, numbered_current
 from ..functions.numbers import safe_ratio, sum_or_zero
 from ..functions.text import hash_mod
 from ..operators import history, merge
+from ..operators.narrow import with_packed_ids, with_plain_ids
 from ..oracle.ctes import AS_OF as SQL_AS_OF
 from ..oracle.ctes import LATEST_LINE, h
 from ..plans import transforms
@@ -216,10 +217,12 @@ def anti_not_exists(w: Warehouse):
 )
 def semi_or_anti(w: Warehouse):
     """A disjunction of the two, as flags from left joins against distinct keys."""
-    placed = w["fact_orders"].select("order_id").distinct().withColumn("placed", F.lit(True))
-    back = w["fact_returns"].select("order_id").distinct().withColumn("back", F.lit(True))
-    joined = w["fact_payments"].join(placed, "order_id", "left").join(back, "order_id", "left")
-    return joined.filter(F.col("placed").isNull() | F.col("back")).select("payment_id", "order_id")
+    payments = w["fact_payments"].select("payment_id", "order_id")
+    placed = with_packed_ids(w["fact_orders"].select("order_id")).distinct().withColumn("placed", F.lit(True))
+    back = with_packed_ids(w["fact_returns"].select("order_id")).distinct().withColumn("back", F.lit(True))
+    joined = with_packed_ids(payments).join(placed, "order_id", "left").join(back, "order_id", "left")
+    found = joined.filter(F.col("placed").isNull() | F.col("back")).select("payment_id", "order_id")
+    return with_plain_ids(found, payments.schema)
 
 
 @query(
