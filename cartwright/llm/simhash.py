@@ -167,11 +167,13 @@ def documents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- five words and a similarity of 0.8 -----------------------------------------------------------
 #
 # Sets of five-word shingles that overlap by 0.8 differ in about 15 % of a fingerprint's bits, too many
-# for anchors on halves of 64 bits. Fingerprints are 256 bits wide here, and anchors are the values of
-# many drawn blocks of bits: the code of all words, whose covering radius is zero, with threshold zero,
-# so that a block is a fingerprint's one anchor there. The width of a block follows the number of
-# documents, so that strangers seldom meet, and the number of blocks follows the width, so that similar
-# ones nearly always do. At an anchor every fingerprint meets one representative; representatives
+# for anchors on halves of 64 bits. Fingerprints are 256 bits wide here and covered in many drawn blocks.
+# The anchors of a block are the codewords of the Hamming code on 7 of its bits, times its free bits: a
+# perfect code of covering radius one, as on the halves above. The threshold in a block is zero, so
+# the anchors within radius plus threshold are one, the nearest: fingerprints that agree in a block meet,
+# and so do those whose coded bits are nearest to one codeword. The number of a block's anchors follows
+# the number of documents, so that strangers seldom meet, and the number of blocks follows that, so that
+# similar ones nearly always do. At an anchor every fingerprint meets one representative; representatives
 # differ from block to block. Candidates are decided by the exact overlap of whole shingle sets.
 
 WORDS, SIMILAR = 5, 0.8
@@ -179,20 +181,40 @@ BITS, DIFFERING = 256, 72
 # Share of bits that a pair at the threshold differs in; blocks expected to agree in such a pair.
 SHARE, AGREEING = 0.155, 3.5
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+# Bits of a block under the code, and those of them that its codewords do not choose freely.
+CODED, PARITY = 7, 3
 # An anchor's bits beside its block's number; blocks are at most that wide.
-ANCHOR_BITS = 40
+ANCHOR_BITS = 40 + PARITY
+# Anchors of fingerprints that a task brings together.
+GATHERED = 1 << 20
 # Fingerprints whose anchors are taken at once.
 SLICE = 2048
 # Odd numbers that make four hashes of one.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
+def nearest_codewords() -> np.ndarray:
+    """The codeword nearest to each value of the coded bits, at most one bit away."""
+    values = np.arange(1 << CODED, dtype=np.int64)
+    wrong = np.zeros_like(values)
+    for i in range(CODED):
+        wrong ^= (values >> i & 1) * (i + 1)
+    return np.where(wrong > 0, values ^ (1 << np.maximum(wrong - 1, 0)), values)
+
+
+NEAREST = nearest_codewords()
+
+
 def blocks(count: int) -> np.ndarray:
-    """The bits of each block, a row per block, for a number of documents."""
-    width = min(ANCHOR_BITS, max(14, int(count).bit_length() + 3))
-    number = int(np.ceil(AGREEING / (1 - SHARE) ** width))
+    """The bits of each block, a row per block, the coded ones first, for a number of documents.
+
+    Counted are blocks that agree wholly, which meet whatever the codewords are; a pair that differs in coded
+    bits only meets in more.
+    """
+    width = min(ANCHOR_BITS - PARITY, max(14, int(count).bit_length() + 3))
+    number = int(np.ceil(AGREEING / (1 - SHARE) ** (width + PARITY)))
     rng = np.random.default_rng(SEED)
-    return np.array([rng.permutation(BITS)[:width] for _ in range(number)])
+    return np.array([rng.permutation(BITS)[:width + PARITY] for _ in range(number)])
 
 
 def shingle_set(words: list[bytes]) -> np.ndarray:
@@ -234,7 +256,7 @@ def wide_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def held_keys(drawn: np.ndarray) -> Callable:
-    """(n, fp) -> (key, n): every anchor of a fingerprint, its block's number above its bits."""
+    """(n, fp) -> (key, n): a fingerprint's anchor in every block, the block's number above its bits."""
     number, width = drawn.shape
     block = np.arange(number, dtype=np.int64) << ANCHOR_BITS
 
@@ -247,6 +269,8 @@ def held_keys(drawn: np.ndarray) -> Callable:
                 keys = np.tile(block, (len(bits), 1))
                 for j in range(width):
                     keys |= bits[:, drawn[:, j]].astype(np.int64) << j
+                coded = keys & (1 << CODED) - 1
+                keys ^= coded ^ NEAREST[coded]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), pa.array(np.repeat(part.column("n").to_numpy(), number))], names=["key", "n"])
 
@@ -267,12 +291,14 @@ def candidates(nodes: DataFrame, drawn: np.ndarray) -> DataFrame:
 
     The representative is the member whose number, mixed with the anchor by exclusive or, is smallest.
     Nearly all anchors have one member or two: the smallest and the largest of one aggregate of numbers
-    are the whole anchor then. Only the anchors with more are joined with their members, which are
-    derived from the fingerprints again.
+    are the whole anchor then. They are moved as two numbers and reduced where they meet, since reducing them
+    before would find hardly any equal ones and move more. Only the anchors with more are joined with their
+    members, which are derived from the fingerprints again.
     """
     held = nodes.select("n", "fp").mapInArrow(held_keys(drawn), "key bigint, n bigint")
     mixed = F.col("n").bitwiseXOR(F.xxhash64("key"))
-    shared = held.groupBy("key").agg(
+    gathered = held.repartition(1 + nodes.count() * len(drawn) // GATHERED, "key")
+    shared = gathered.groupBy("key").agg(
         F.min(mixed).alias("least"), F.max(mixed).alias("most"), F.count("*").alias("members")).where("members > 1")
     shared = stored(shared.select(
         "key", F.col("least").bitwiseXOR(F.xxhash64("key")).alias("rep"),

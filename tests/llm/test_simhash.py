@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -203,3 +204,29 @@ def test_similar_pairs_meet_at_every_size():
             off[rng.permutation(simhash.BITS)[:rng.binomial(simhash.BITS, simhash.SHARE)]] = True
             met += bool((~off[drawn].any(axis=1)).any())
         assert met >= 0.8 * 400 and drawn.max() < simhash.BITS
+
+
+def test_anchors_of_blocks_cover_all_values_within_one_bit():
+    """The perfect code's codewords: every value has one within one bit, which eight values share."""
+    values = np.arange(1 << simhash.CODED)
+    assert np.bitwise_count(values ^ simhash.NEAREST).max() == 1
+    anchors, around = np.unique(simhash.NEAREST, return_counts=True)
+    assert len(anchors) == 1 << simhash.CODED - simhash.PARITY and set(around) == {simhash.CODED + 1}
+    assert (simhash.NEAREST[anchors] == anchors).all()
+
+
+def test_fingerprints_next_to_one_codeword_meet_at_it():
+    drawn = simhash.blocks(1000)
+    coded, free = drawn[0, :simhash.CODED], drawn[0, simhash.CODED:]
+
+    def first_key(*ones):
+        bits = np.zeros(simhash.BITS, bool)
+        bits[list(ones)] = True
+        batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array(
+            [np.packbits(bits, bitorder="little").view(np.int64)], pa.list_(pa.int64()))], names=["n", "fp"])
+        out, = simhash.held_keys(drawn)(iter([batch]))
+        assert out.num_rows == len(drawn) and set(out.column("n").to_pylist()) == {7}
+        return out.column("key")[0].as_py()
+
+    assert {first_key(b) for b in coded} == {first_key()}
+    assert first_key() not in {first_key(b) for b in free} and first_key(*coded[:2]) != first_key()
