@@ -12,7 +12,7 @@ from cartwright.operators.parted import Keyed
 from cartwright.operators.store import Store
 from cartwright.plans import transforms
 from cartwright.plans.hourly import HourlyRun
-from cartwright.plans.warehouse import BUILDERS, ts, warehouse
+from cartwright.plans.warehouse import BUILDERS, Warehouse, ts, warehouse
 from cartwright.session import shared_dir
 from cartwright.sources import files, retail
 from cartwright.streaming import loads
@@ -153,3 +153,15 @@ def test_batches_of_a_run_leave_no_copies(spark, tmp_path):
     assert run.fact_orders().count() == 2
     kept = os.listdir(store.root) + os.listdir(shared_dir(spark).removeprefix("file:"))
     assert not [n for n in kept if "batch" in n or "-sound" in n or n.startswith("newest-")]
+
+
+@needs_tables
+@pytest.mark.parametrize("fact, binding", [("fact_orders", "current"), ("fact_orders_asof", "asof")])
+def test_order_facts_need_no_stored_orders(spark, fact, binding):
+    w = Warehouse(spark, SMALL)
+    found = w[fact].drop("order_month")
+    assert not os.path.exists(f"{w.root.removeprefix('file:')}/stg_orders")
+    slow = transforms.order_rows(w["stg_orders"], w["dim_customers"], w["dim_products"], binding)
+    assert slow.count() == found.count() > 0 and found.exceptAll(slow.select(*found.columns)).isEmpty()
+    # Once they are stored, they are read.
+    assert "stg_orders" in plan(transforms.order_rows(w.rows("stg_orders"), w["dim_customers"], w["dim_products"]))
