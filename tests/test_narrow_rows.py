@@ -13,6 +13,7 @@ from cartwright.operators.store import Store
 from cartwright.plans import transforms
 from cartwright.plans.hourly import HourlyRun
 from cartwright.plans.warehouse import BUILDERS, Warehouse, ts, warehouse
+from cartwright.registry import star
 from cartwright.session import shared_dir
 from cartwright.sources import files, retail
 from cartwright.streaming import loads
@@ -165,3 +166,12 @@ def test_order_facts_need_no_stored_orders(spark, fact, binding):
     assert slow.count() == found.count() > 0 and found.exceptAll(slow.select(*found.columns)).isEmpty()
     # Once they are stored, they are read.
     assert "stg_orders" in plan(transforms.order_rows(w.rows("stg_orders"), w["dim_customers"], w["dim_products"]))
+
+
+@needs_tables
+def test_the_daily_aggregate_needs_no_stored_orders(spark):
+    w = Warehouse(spark, SMALL)
+    found = star.daily_revenue(w)
+    assert found.count() > 0 and not os.path.exists(f"{w.root.removeprefix('file:')}/stg_orders")
+    slow = transforms.agg_revenue(star.stale_aggregate(w), w["stg_revenue"], w["stg_orders"], ts(star.AGG_AT))
+    assert slow.count() == found.count() and found.exceptAll(slow).isEmpty()
