@@ -187,6 +187,8 @@ CODED, PARITY = 7, 3
 ANCHOR_BITS = 40 + PARITY
 # Anchors of fingerprints that a task brings together.
 GATHERED = 1 << 20
+# Parts of an anchor's members that are reduced apart, by the last bit of their numbers.
+PARTS = 2
 # Fingerprints whose anchors are taken at once.
 SLICE = 2048
 # Odd numbers that make four hashes of one.
@@ -286,26 +288,43 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([shingle_set(w).view(np.int64) for w in words], pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
+def meetings(held: DataFrame) -> DataFrame:
+    """(key, rep, others) of the anchors with several members; ``others`` is null where they are too many for an aggregate.
+
+    The representative is the member whose number, mixed with the anchor by exclusive or, is smallest.
+    Members with an even and with an odd number are reduced apart: the smallest, the largest and the exclusive
+    or of up to three numbers are these numbers, so that an anchor of up to three and three needs no join.
+    """
+    mixed, by_key = F.col("n").bitwiseXOR(F.xxhash64("key")), F.xxhash64("key")
+    aggregates, numbers = [], []
+    for i in range(PARTS):
+        here = F.col("n").bitwiseAND(F.lit(PARTS - 1)) == i
+        aggregates += [
+            F.min(F.when(here, mixed)).alias(f"least{i}"), F.max(F.when(here, mixed)).alias(f"most{i}"),
+            F.bit_xor(F.when(here, F.col("n"))).alias(f"all{i}"), F.count(F.when(here, 1)).alias(f"members{i}")]
+        ends = [F.col(f"least{i}").bitwiseXOR(by_key), F.col(f"most{i}").bitwiseXOR(by_key)]
+        numbers += [*ends, F.when(F.col(f"members{i}") == 3, F.col(f"all{i}").bitwiseXOR(ends[0]).bitwiseXOR(ends[1]))]
+    members = [F.col(f"members{i}") for i in range(PARTS)]
+    rep = F.least(*[F.col(f"least{i}") for i in range(PARTS)]).bitwiseXOR(by_key)
+    others = F.array_except(F.array_compact(F.array(*numbers)), F.array(rep))
+    return held.groupBy("key").agg(*aggregates).where(sum(members) > 1).select(
+        "key", rep.alias("rep"), F.when(F.greatest(*members) <= 3, others).alias("others"))
+
+
 def candidates(nodes: DataFrame, drawn: np.ndarray) -> DataFrame:
     """(n, rep, off): the pairs that meet at an anchor and differ in at most ``DIFFERING`` bits.
 
-    The representative is the member whose number, mixed with the anchor by exclusive or, is smallest.
-    Nearly all anchors have one member or two: the smallest and the largest of one aggregate of numbers
-    are the whole anchor then. They are moved as two numbers and reduced where they meet, since reducing them
-    before would find hardly any equal ones and move more. Only the anchors with more are joined with their
-    members, which are derived from the fingerprints again.
+    Nearly all anchors have few members, which :func:`meetings` tells from one aggregate of numbers. They are
+    moved as two numbers and reduced where they meet, since reducing them before would find hardly any equal
+    ones and move more. Only the anchors with more are joined with their members, which are derived from the
+    fingerprints again: a row for a fingerprint and block at most, however large the group.
     """
     held = nodes.select("n", "fp").mapInArrow(held_keys(drawn), "key bigint, n bigint")
-    mixed = F.col("n").bitwiseXOR(F.xxhash64("key"))
     gathered = held.repartition(1 + nodes.count() * len(drawn) // GATHERED, "key")
-    shared = gathered.groupBy("key").agg(
-        F.min(mixed).alias("least"), F.max(mixed).alias("most"), F.count("*").alias("members")).where("members > 1")
-    shared = stored(shared.select(
-        "key", F.col("least").bitwiseXOR(F.xxhash64("key")).alias("rep"),
-        F.col("most").bitwiseXOR(F.xxhash64("key")).alias("n"), "members"), "simhash-reps")
-    crowded = stored(shared.where("members > 2").select("key", "rep"), "simhash-crowded")
+    shared = stored(meetings(gathered), "simhash-reps")
+    crowded = stored(shared.where("others IS NULL").select("key", "rep"), "simhash-crowded")
     met = held.join(crowded, "key").where("n <> rep").select("n", "rep")
-    met = stored(shared.where("members = 2").select("n", "rep").unionByName(met).distinct(), "simhash-met")
+    met = stored(shared.select(F.explode("others").alias("n"), "rep").unionByName(met).distinct(), "simhash-met")
     own, there = nodes.select("n", F.col("fp").alias("a")), nodes.select(F.col("n").alias("rep"), F.col("fp").alias("b"))
     words = [F.bit_count(F.get("a", F.lit(i)).bitwiseXOR(F.get("b", F.lit(i)))) for i in range(BITS // 64)]
     off = words[0] + words[1] + words[2] + words[3]

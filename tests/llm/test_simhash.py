@@ -230,3 +230,30 @@ def test_fingerprints_next_to_one_codeword_meet_at_it():
 
     assert {first_key(b) for b in coded} == {first_key()}
     assert first_key() not in {first_key(b) for b in free} and first_key(*coded[:2]) != first_key()
+
+
+def test_members_of_small_anchors_need_no_join(spark):
+    """Anchors of 1 to 9 members: those known from the aggregate are exactly the members but the representative."""
+    rng = random.Random(5)
+    held = {key: rng.sample(range(1 << 40), 1 + key % 9) for key in range(90)}
+    rows = simhash.meetings(spark.createDataFrame([(k, n) for k, m in held.items() for n in m], "key bigint, n bigint"))
+    got = {r.key: r for r in rows.collect()}
+    assert set(got) == {k for k, m in held.items() if len(m) > 1}
+    mix = {r.key: r.h for r in spark.range(90).select(F.col("id").alias("key"), F.xxhash64("id").alias("h")).collect()}
+    for k, r in got.items():
+        assert r.rep == min(held[k], key=lambda n: n ^ mix[k])
+        odd = sum(n % 2 for n in held[k])
+        assert (r.others is None) == (max(odd, len(held[k]) - odd) > 3)
+        assert r.others is None or sorted([*r.others, r.rep]) == sorted(held[k])
+    assert {len(held[k]) for k, r in got.items() if r.others is not None} >= {2, 3, 4, 5}
+
+
+def test_a_group_of_near_copies_meets_at_a_row_for_each_member_and_block(spark):
+    """However large the group: no pairs of its members are made."""
+    drawn, rng = simhash.blocks(1000), np.random.default_rng(2)
+    bits = (rng.random(simhash.BITS) < 0.5) ^ (rng.random((400, simhash.BITS)) < 0.05)
+    prints = np.packbits(bits, axis=1, bitorder="little").view(np.int64).tolist()
+    nodes = spark.createDataFrame(list(enumerate(prints)), "n bigint, fp array<bigint>")
+    pairs = simhash.candidates(nodes, drawn).collect()
+    assert 400 <= len(pairs) <= 400 * len(drawn)
+    assert len({r.n for r in pairs} | {r.rep for r in pairs}) == 400
