@@ -46,7 +46,7 @@ ROW_BITS = 33
 
 
 # Pieces remembered per Python worker, and characters encoded at a time.
-REMEMBERED, SLICE = 600_000, 4 << 20
+REMEMBERED, SLICE = 600_000, 8 << 20
 
 # White space next to a space: where a text may not be cut at that space.
 UNSAFE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -77,11 +77,14 @@ def pieces(vocabulary: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    model, letters = tokenizer.model, byte_letters()
+    tokenize, letters = tokenizer.model.tokenize, byte_letters()
+    blank = letters[ord(" ")]
 
     def encode(piece: str) -> bytes:
         if WORD.fullmatch(piece):
-            return array("i", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+            # Of plain letters only the space is written as another.
+            plain = piece.replace(" ", blank) if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
+            return array("i", [t.id for t in tokenize(plain)]).tobytes()
         return array("i", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def put_together(piece: str) -> bytes:
@@ -95,7 +98,10 @@ def pieces(vocabulary: str) -> Callable[[str], bytes]:
 
     def lookup(piece: str) -> bytes:
         found = words.get(piece)
-        return combined[piece] if found is None else found
+        if found is None:
+            # A word is remembered once, and takes no combination's place.
+            found = words[piece] if piece[1:].isalpha() and WORD.fullmatch(piece) else combined[piece]
+        return found
 
     return lookup
 

@@ -46,3 +46,23 @@ def test_a_filter_on_the_id_reaches_the_files(spark):
 
 def test_empty_table(spark):
     assert orc_tokens.roundtrip(docs(spark, []), VOCABULARY).collect() == []
+
+
+def test_a_word_is_remembered_once_and_takes_no_combinations_place(monkeypatch):
+    made = []
+
+    class Recorded(orc_tokens.Remembered):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+    monkeypatch.setattr(orc_tokens, "Remembered", Recorded)
+    orc_tokens.pieces.cache_clear()
+    known = orc_tokens.pieces(VOCABULARY)
+    pieces = [" word", "word", " wörd", "Ärger", " word,", " word-word", " 12", "", " ", "naïveª", " Ġ", "日本"]
+    got = [known(p) for p in pieces]
+    orc_tokens.pieces.cache_clear()
+    assert [np.frombuffer(i, "<i4").tolist() for i in got] == [ids_of(p)[:-1] for p in pieces]
+    words, combined = made
+    assert {" word", "word", " wörd", "Ärger"} <= words.keys() and not words.keys() & {" word,", " word-word"}
+    assert not {" word", "word", " wörd", "Ärger"} & combined.keys()
