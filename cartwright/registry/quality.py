@@ -21,16 +21,19 @@ from .dashboards import as_of
 from .sources import COUNTED
 
 
+# Facts bound at order time, next to dimensions that kept only their current rows.
+PURGED = {
+    "fact_orders": lambda w: w["fact_orders_asof"].drop("order_month"),
+    "fact_payments": lambda w: w["fact_payments"],
+    "fact_returns": lambda w: w["fact_returns"],
+    "dim_customers": lambda w: w["dim_customers"].filter("is_current"),
+    "dim_products": lambda w: w["dim_products"].filter("is_current"),
+    "dim_date": lambda w: w["dim_date"],
+}
+
+
 def purged(w: Warehouse) -> dict[str, DataFrame]:
-    """Facts bound at order time, next to dimensions that kept only their current rows."""
-    return {
-        "fact_orders": w["fact_orders_asof"].drop("order_month"),
-        "fact_payments": w["fact_payments"],
-        "fact_returns": w["fact_returns"],
-        "dim_customers": w["dim_customers"].filter("is_current"),
-        "dim_products": w["dim_products"].filter("is_current"),
-        "dim_date": w["dim_date"],
-    }
+    return {name: table(w) for name, table in PURGED.items()}
 
 
 CUSTOMER_GONE = "customer_sk NOT IN (SELECT customer_sk FROM d_customers WHERE is_current)"
@@ -39,9 +42,9 @@ DATE_GONE = "date_key NOT IN (SELECT date_key FROM d_date)"
 
 
 def _cleared(w: Warehouse, fact: str, column: str, dim: str, key: str) -> DataFrame:
-    tables = purged(w)
-    rows = tables[fact].select(key, column)
-    cleared = quality.clear_orphans(with_packed_ids(rows), column, lookup(tables[dim].select(column)))
+    known = lookup(PURGED[dim](w).select(column))
+    rows = PURGED[fact](w).select(key, column)
+    cleared = quality.clear_orphans(with_packed_ids(rows), column, known)
     return with_plain_ids(cleared, rows.schema)
 
 

@@ -83,3 +83,11 @@ def test_stripping_looks_at_both_ends(spark):
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
     got = df.select("i", text.strip(F.col("w")).alias("s"), F.btrim("w", F.lit(text.WHITE_SPACE)).alias("t")).collect()
     assert all(r.s == r.t for r in got)
+
+
+@needs_tables
+def test_payment_dates_are_checked_without_order_facts(spark):
+    w = Warehouse(spark, SMALL)
+    assert checks.orphan_payment_date(w).count() > 0
+    built = os.listdir(w.root.removeprefix("file:"))
+    assert not [n for n in built if n.startswith(("fact_orders", "stg_orders", "dim_customers", "stg_returns"))]
