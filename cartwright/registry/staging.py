@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..catalog import ENTITIES
 from ..plans import staging
 from ..plans.warehouse import Warehouse, ts
-from ..session import stored
 from ..sources import retail
 from .base import query
 from .rows import raw, selected
@@ -35,15 +34,13 @@ KEPT = {"inventory": ("product_id", "warehouse_location"), "revenue": ("record_d
 
 def earlier(w: Warehouse, entity: str) -> DataFrame:
     condition, column, value = EARLIER[entity]
-    table = w[f"stg_{entity}"].filter(condition)
+    table = w.rows(f"stg_{entity}").filter(condition)
     return table.withColumn(column, F.expr(value))
 
 
 def _load(entity: str):
     def run(w: Warehouse) -> DataFrame:
-        newest = staging.check(entity, raw(w, entity)).newest(ts(LOADED))
-        # The merge reads the batch twice: for its keys and for its rows.
-        return staging.load(entity, earlier(w, entity), stored(newest, f"batch-{entity}"))
+        return staging.load(entity, earlier(w, entity), staging.check(entity, raw(w, entity)).newest_packed(ts(LOADED)))
 
     return run
 

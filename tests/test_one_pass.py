@@ -78,6 +78,27 @@ def test_one_join_gives_the_rows_of_an_upsert(spark, updated):
     assert found.columns == want.columns and sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
 
 
+@needs_tables
+def test_a_load_stores_neither_orders_nor_its_batch(spark):
+    w = Warehouse(spark, SMALL)
+    shared = os.path.dirname(w.root.removeprefix("file:"))
+    before = set(os.listdir(shared))
+    merged = loaded._load("orders")(w)
+    assert merged.count() > 0 and not os.path.exists(f"{w.root.removeprefix('file:')}/stg_orders")
+    assert not [n for n in set(os.listdir(shared)) - before if n.startswith("batch-")]
+
+
+def test_rows_beside_many_repeated_keys_move_packed(spark, monkeypatch):
+    monkeypatch.setattr(V, "FEW", 0)
+    ids = [i for i in ODD_IDS if i] + [ODD_IDS[0], "a"]
+    rows = [(i, "f", n) for n, i in enumerate(ids)] + [(None, "f", 90), (None, "f", 91), (ODD_IDS[0], "g", 92)]
+    df = spark.createDataFrame(rows, "order_id string, _source_file string, n int")
+    found = V.flag_repeated(df, "order_id", "failed")
+    assert "unhex(" in below_exchanges(found)
+    assert {r.n: (r.order_id, r.failed) for r in found.collect()} == {
+        n: (i, f == "f" and i in (ODD_IDS[0], "a")) for i, f, n in rows}
+
+
 def test_stripping_looks_at_both_ends(spark):
     words = ["a", " a", "a ", "\ta b\n", "　a", "a ", "é", " é", "", " ", "~", "!a!", "\x7fa", None, "a\x1f"]
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
